@@ -113,7 +113,7 @@ class Models:
         at = 0
         while at < len(texts):
             stop, n = at, 0
-            while stop < len(texts) and (stop == at or n + len(texts[stop]) < 60_000):
+            while stop < len(texts) and (stop == at or n + len(texts[stop]) < 250_000):
                 n += len(texts[stop])
                 stop += 1
             totals[at:stop] = self._chunk(texts[at:stop])
@@ -123,25 +123,25 @@ class Models:
     def _chunk(self, texts: list[str]) -> np.ndarray:
         codes, starts = _text_codes(texts)
         keys = _keys(codes)
-        p = np.full((len(codes), len(self.languages)), 1e-4, np.float32)
+        # a character's probability depends on its longest n-gram only: work out each of these once
+        _, where, inverse = np.unique(keys[-1], return_index=True, return_inverse=True)
+        p = np.full((len(where), len(self.languages)), 1e-4, np.float32)
         for n in range(ORDER):
             if n:
-                context = np.concatenate([[np.uint64(0)], keys[n - 1][:-1]])
+                context = keys[n - 1][where - 1]
                 table, weight = self.contexts[n]
                 place = np.minimum(np.searchsorted(table, context), len(table) - 1)
                 known = table[place] == context
                 p[known] *= weight[place[known]]
             else:
                 p *= self.contexts[0][1]
+            gram = keys[n][where]
             table, share = self.grams[n]
-            place = np.minimum(np.searchsorted(table, keys[n]), len(table) - 1)
-            known = table[place] == keys[n]
+            place = np.minimum(np.searchsorted(table, gram), len(table) - 1)
+            known = table[place] == gram
             p[known] += share[place[known]]
-        logs = np.log(p)
-        ends = np.append(starts[1:], len(codes))
-        lead = np.concatenate([s + np.arange(ORDER - 1) for s in starts])
-        logs[lead] = 0
-        assert len(ends) == len(texts)
+        logs = np.log(p)[inverse]
+        logs[(starts[:, None] + np.arange(ORDER - 1)).ravel()] = 0  # the leading blanks are context only
         return np.add.reduceat(logs, starts, axis=0)
 
     def decide(self, texts: list[str], reject: float = 6.0) -> tuple[list[str], np.ndarray]:

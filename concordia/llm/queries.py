@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordia.llm import bpe, langid, mixing, neardup, pairs
+from concordia.llm import bpe, langid, mixing, neardup, pairs, sentences
 from concordia.runtime import blank_trim, cut, table
 
 
@@ -84,9 +84,20 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_sized_documents(spark, sf_dir), table(spark, sf_dir, "mix_targets"))[1]
 
 
+def p10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = sentences.learn(documents, F.col("text"), F.col("lang"))
+    return sentences.split_documents(documents, "doc_id", "text", "lang", model)
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_sentences(spark, sf_dir).select("doc_id", "sent_start", "sent_end")
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_rows": p2_rows, "p2_segments": p2_segments,
     "p6_found": p6_found, "p6_groups": p6_groups, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares,
+    "p10_found": p10_found, "p10_sentences": p10_sentences,
 }
 
 _P1 = """
