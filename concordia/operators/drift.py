@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from concordia.runtime import cut
+
 RESCUED = "_rescued"
 
 #: What a value must be to fit a column of the target schema without loss.
@@ -115,6 +117,7 @@ def field_changes(fields: DataFrame, feed: str, file_name: str, order: list[str]
 
     Windows run over files and fields, never over lines. Files get their numbers first, from one row per file.
     """
+    fields = cut(fields)  # three reads of it below; it is a row per file and field, the lines are many times that
     files = fields.select(feed, file_name, *order).distinct()
     numbered = files.withColumn("file_no", F.row_number().over(Window.partitionBy(feed).orderBy(*order, file_name)))
     numbered = numbered.withColumn("last_no", F.max("file_no").over(Window.partitionBy(feed)))

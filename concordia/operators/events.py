@@ -11,6 +11,7 @@ from concordia.config import EU
 from concordia.functions import scalars as S
 from concordia.functions.text import hash_title
 from concordia.operators.detect import detect_countries, detect_topics, from_parts, primary_topic, score_topics
+from concordia.runtime import settled
 
 LAYERS = ["official", "rss", "gdelt"]
 
@@ -28,8 +29,10 @@ def build_text_events(items: DataFrame, layer: str = "rss") -> DataFrame:
         F.lit(layer).alias("layer"), strip("source_name").alias("source_name"), F.lower(strip("source_type")).alias("source_type"),
         *[strip(c).alias(c) for c in ("title", "summary", "body", "url")], "published_at", "collected_at",
         *[c for c in items.columns if c in ("news_id", "ingest_seq", "metadata")],
-    ).withColumn("_text", from_parts(F.col("title"), F.col("summary"), F.col("body")))
-    found = base.withColumns({"topics": detect_topics(F.col("_text")), "primary_topic": primary_topic(score_topics(F.col("_text"))), "countries": detect_countries(F.col("_text"))})
+    ).withColumn("_text", settled(from_parts(F.col("title"), F.col("summary"), F.col("body"))))
+    # scores and countries are read several times below: a projection of their own keeps the optimizer from repeating them
+    found = base.withColumns({"topics": detect_topics(F.col("_text")), "_scores": score_topics(F.col("_text")), "countries": detect_countries(F.col("_text"))})
+    found = found.withColumn("primary_topic", primary_topic(F.col("_scores"))).drop("_scores")
     return found.withColumns({"country_groups": S.split_groups(F.col("countries")), "country_pairs": S.country_pairs(F.col("countries"))}).drop("_text")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concordia.config import COUNTRY_ALIASES, EU, TOPIC_KEYWORDS, TOPICS, VOTE_TOPIC_KEYWORDS
+from concordia.config import CODED_COUNTRIES, EU, TOPICS, VOTE_TOPIC_KEYWORDS
 
 
 def _list(words) -> str:
@@ -117,17 +117,19 @@ def _any(col: str, words) -> str:
     return "(" + " OR ".join(f"contains({col}, '{w.replace(chr(39), chr(39) * 2)}')" for w in dict.fromkeys(words)) + ")"
 
 
-def _alias(words) -> str:
-    return r"(^|[^\pL\pN_])(" + "|".join(w.replace(".", r"\.").replace(" ", r"\s+").replace("'", "''") for w in sorted(words, key=len, reverse=True)) + r")"
-
-
-_CLEAN = r"trim(regexp_replace(regexp_replace(translate(coalesce({x}, ''), '‘’“”–— ', '''''""-- '), '[\s\x{a0}\x{2000}-\x{200a}\x{3000}]+', ' ', 'g'), '^ | $', '', 'g'))"
+_CLEAN = r"""trim(regexp_replace(translate(coalesce({x}, ''), '‘’“”–—""" + "\u00a0" + r"""', '''''""-- '), '\s+', ' ', 'g'))"""
 
 _TITLE_KEY = r"sha256(lower(regexp_replace(coalesce(title, ''), '^\s+|\s+$', '', 'g')))"
 
 _DAILY = "WITH s AS (SELECT event_type, CAST(ts AS DATE) AS day, " + _R("avg(CAST(value AS DECIMAL(28, 12)))", 2) + " AS value FROM events GROUP BY ALL), n AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY day) AS i FROM s)"
 _FIT = ", f AS (SELECT event_type, count(*) AS n, coalesce(regr_slope(value, i - 1), 0) AS k, coalesce(regr_intercept(value, i - 1), max(value)) AS c, max(day) AS last FROM n GROUP BY ALL)"
 
+_TC = f"""{_V} {_VH}, l AS (UNPIVOT vh ON {', '.join(TOPICS)} INTO NAME topic VALUE v),
+x AS (SELECT country, topic, coalesce(max(v) FILTER (period = 'current'), 0) AS current, coalesce(max(v) FILTER (period = 'previous'), 0) AS previous FROM l GROUP BY ALL), tc AS (SELECT *, {_R('current - previous', 3)} AS delta FROM x)"""
+_CODES = ", ".join(f"('{c}', '{iso}')" for iso, codes in CODED_COUNTRIES.items() for c in dict.fromkeys([*codes, iso]))
+_CODED = f"""WITH map0(code, iso) AS (VALUES {_CODES}), k AS (SELECT code, min(iso) AS iso FROM (SELECT * FROM map0 WHERE code <> iso UNION ALL SELECT * FROM map0 WHERE code = iso AND code NOT IN (SELECT code FROM map0 WHERE code <> iso)) GROUP BY code),
+x AS (SELECT m.*, k1.iso AS a, k2.iso AS b, k3.iso AS c, list_sort(list_distinct(list_filter([k1.iso, k2.iso, k3.iso], lambda t: t IS NOT NULL))) AS cs FROM coded_messages m
+  LEFT JOIN k k1 ON k1.code = upper(trim(metadata['Actor1CountryCode_raw'])) LEFT JOIN k k2 ON k2.code = upper(trim(metadata['Actor2CountryCode_raw'])) LEFT JOIN k k3 ON k3.code = upper(trim(metadata['ActionGeo_CountryCode_raw'])))"""
 _NORMAL_PAIRS = f"SELECT least(p[1], p[2]) AS source, greatest(p[1], p[2]) AS target, topics FROM (SELECT unnest(country_pairs) AS p, coalesce(topics, []) AS topics FROM nw) WHERE len(p) = 2 AND p[1] <> p[2] AND p[1] IN {_EU} AND p[2] IN {_EU}"
 _NW = f"WITH nw AS (SELECT * FROM news_items WHERE len(list_distinct(list_filter(countries, lambda c: c IN {_EU}))) >= 2)"
 _EUNEWS = f"SELECT coalesce(topics, []) AS topics, unnest(list_distinct(list_filter(countries, lambda c: c IN {_EU}))) AS country FROM news_items"
@@ -148,7 +150,7 @@ LEFT JOIN (SELECT * FROM ends QUALIFY row_number() OVER (PARTITION BY window_day
 UNION ALL SELECT mode, status, source, target, delta, status FROM (SELECT * FROM ch WHERE status IN ('gained', 'lost') QUALIFY row_number() OVER (PARTITION BY mode, status ORDER BY ordinal) <= 8)
 UNION ALL SELECT mode, status, source, target, delta, status FROM (SELECT * FROM ch WHERE status IN ('improved', 'declined') QUALIFY row_number() OVER (PARTITION BY mode, status ORDER BY abs(delta) DESC, ordinal) <= 8)""",
     "news_text": f"""SELECT news_id AS ingest_seq, lower({_CLEAN.format(x=r"regexp_replace(regexp_replace(concat_ws(' ', nullif(title, ''), nullif(summary, '')), 'https?://\S+|www\.\S+', ' ', 'gi'), '[\pL\pN_.-]+@[\pL\pN_.-]+\.[\pL\pN_]+', ' ', 'g')")}) AS text,
-{_TITLE_KEY} AS title_hash, trim(regexp_replace(translate(lower(coalesce(title, '')), '’–—_/', '''    '), '[\\s\\x{{a0}}]+', ' ', 'g')) AS topic_text FROM news_items""",
+{_TITLE_KEY} AS title_hash, trim(regexp_replace(translate(lower(coalesce(title, '')), '’–—_/', '''    '), '\\s+', ' ', 'g')) AS topic_text FROM news_items""",
     "vote_topics": "SELECT news_id AS ingest_seq, CASE " + " ".join(f"WHEN {_any('t', w)} THEN '{k}'" for k, w in VOTE_TOPIC_KEYWORDS.items()) + " ELSE 'trade' END AS vote_topic FROM (SELECT news_id, translate(lower(coalesce(title, '')), '’–—_/', '''    ') AS t FROM news_items)",
     "dedup_news": f"""WITH u AS (SELECT * FROM news_items QUALIFY coalesce(url, '') = '' OR row_number() OVER (PARTITION BY url ORDER BY news_id) = 1)
 SELECT news_id AS ingest_seq FROM u QUALIFY row_number() OVER (PARTITION BY {_TITLE_KEY} ORDER BY news_id) = 1""",
@@ -188,9 +190,20 @@ coalesce(string_agg(partner, ',' ORDER BY partner) FILTER (now AND before), '')
     "vote_topic_change": f"""{_V} {_VH}, l AS (UNPIVOT vh ON {', '.join(TOPICS)} INTO NAME topic VALUE v),
 x AS (SELECT country, topic, coalesce(max(v) FILTER (period = 'current'), 0) AS current, coalesce(max(v) FILTER (period = 'previous'), 0) AS previous FROM l GROUP BY ALL) SELECT country, topic, current, previous, {_R('current - previous', 3)} AS delta FROM x""",
     "series_metrics": f"""{_DAILY} SELECT event_type, strftime(day, '%Y-%m-%d') AS day, value, {_R('avg(value) OVER (PARTITION BY event_type ORDER BY day ROWS 6 PRECEDING)', 2)} AS value_ma,
-{_R('coalesce(regr_slope(value, i) OVER (PARTITION BY event_type ORDER BY day ROWS 13 PRECEDING), 0)', 4)} AS trend_slope FROM n""",
+{_R('CASE WHEN i = 1 THEN 0 ELSE regr_slope(value, i) OVER (PARTITION BY event_type ORDER BY day ROWS 13 PRECEDING) END', 4)} AS trend_slope FROM n""",
     "series_trend": f"{_DAILY} {_FIT} SELECT event_type, strftime(day, '%Y-%m-%d') AS day, {_R('c + k * (i - 1)', 2)} AS trend FROM n JOIN f USING (event_type)",
     "series_forecast": f"{_DAILY} {_FIT} SELECT event_type, strftime(last + CAST(j AS INTEGER), '%Y-%m-%d') AS day, {_R('c + k * (n + j - 1)', 2)} AS forecast FROM f, range(1, 4) r(j)",
+    "report_topic_shifts": f"""{_TC} SELECT country, topic, current, previous, delta FROM (SELECT * FROM tc QUALIFY row_number() OVER (PARTITION BY country ORDER BY abs(delta) DESC, topic) = 1) ORDER BY abs(delta) DESC, country LIMIT 12""",
+    "report_topics": f"""{_TC} SELECT topic, CAST(sum(CAST(abs(delta) AS DECIMAL(18, 3))) AS DOUBLE) AS absolute_delta_total, string_agg(country, ',' ORDER BY rn) FILTER (rn <= 5) AS countries
+FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY abs(delta) DESC, country) AS rn FROM tc) GROUP BY topic ORDER BY 2 DESC, 1 LIMIT 8""",
+    "coded_counters": f"""{_CODED} SELECT count(*) AS rows_total, count(a) AS actor1_mapped, count(b) AS actor2_mapped, count(c) AS place_mapped, count(*) FILTER (len(cs) > 0) AS with_country,
+count(*) FILTER (len(cs) >= 2) AS with_pair, count(*) FILTER (len(cs) >= 2 AND list_has_any(cs, [{_EU[1:-1]}])) AS relevant FROM x""",
+    "coded_built": f"""{_CODED}, y AS (SELECT *, trim(coalesce(metadata['EventRootCode'], '')) AS root, trim(coalesce(metadata['EventCode'], '')) AS code FROM x WHERE len(cs) >= 2 AND list_has_any(cs, [{_EU[1:-1]}])),
+z AS (SELECT *, list_sort(list_distinct(list_filter([CASE WHEN root IN ('19', '20') THEN 'defence' END, CASE WHEN root IN ('19', '20') THEN 'ukraine_russia' END, CASE WHEN root IN ('13', '14', '17') THEN 'rule_of_law' END,
+  CASE WHEN root IN ('05', '06', '07', '08') OR left(code, 3) IN ('112', '113', '120', '121', '122', '123') THEN 'trade' END, CASE WHEN left(code, 3) IN ('112', '113', '120', '121', '122', '123') THEN 'fiscal' END], lambda t: t IS NOT NULL))) AS ts FROM y),
+w AS (SELECT *, CASE WHEN len(ts) = 0 THEN ['defence'] ELSE ts END AS t FROM z)
+SELECT row_id, 'Coded event ' || coalesce(nullif(metadata['Actor1Name'], ''), cs[1]) || ' - ' || coalesce(nullif(metadata['Actor2Name'], ''), cs[2]) || ' code ' || code AS title, t[1] AS primary_topic,
+array_to_string(t, ',') AS topics, array_to_string(cs, ',') AS countries, CAST(len(cs) * (len(cs) - 1) / 2 AS INTEGER) AS n_pairs FROM w""",
     "upsert_orders": "SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 2 = 0 THEN 'new' ELSE o_orderstatus END AS o_orderstatus FROM orders",
     "newest_orders": "SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) <= 2",
 }

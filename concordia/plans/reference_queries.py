@@ -13,18 +13,17 @@ from pyspark.sql import functions as F
 from concordia.config import EU, TOPICS, VOTE_WEIGHTS, Thresholds
 from concordia.functions import scalars as S
 from concordia.functions import text as X
-from concordia.functions.timestamps import with_utc_micros
 from concordia.operators import detect, events, networks, relationship, reports, timeseries, votes
 from concordia.plans.reference_oracles import ORACLE
-from concordia.runtime import cut, table
+from concordia.runtime import cut, settled, table
 
 NOW = "2026-04-15T00:00:00Z"
 VOTE_LIMITS = Thresholds(min_edge_weight=0.40)
 
 
 def coded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_utc_micros(table(spark, sf_dir, "coded_messages"), "_micros", "collected_at")
-    ts = F.coalesce(F.timestamp_micros("_micros"), F.lit(NOW).cast("timestamp"))
+    rows = table(spark, sf_dir, "coded_messages")
+    ts = S.event_timestamp(NOW, F.col("published_at"), F.col("collected_at"))
     return rows.select("row_id", ts.alias("ts"), "countries", "topics", "country_pairs", S.event_weight(F.col("metadata")).alias("weight"))
 
 
@@ -52,12 +51,13 @@ def similarity(spark, sf_dir):
     return networks.similarity_edges(heatmap_norm(spark, sf_dir))
 
 
-def _components(spark, sf_dir, period: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _components(spark, sf_dir, period: str | None = None, rows: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Graph, similarity and normalised heatmap of each window and mode; with a period, of the current or previous 30 days only. Small tables, written once."""
-    rows = coded_events(spark, sf_dir)
     windows = networks.WINDOW_DAYS
+    if rows is None:
+        rows = cut(events.in_window(coded_events(spark, sf_dir), "ts", NOW, max(windows)))
     if period:
-        rows, windows = events.with_period(rows, "ts", NOW, 30).where(F.col("period") == period), (60,)
+        rows, windows = rows.where(F.col("period") == period), (60,)
     norm = cut(networks.normalize_rows(networks.heatmap(rows, NOW, windows)))
     return cut(networks.graph_edges(rows, NOW, windows)), cut(networks.similarity_edges(norm)), norm
 
@@ -73,7 +73,8 @@ def relationship_countries(spark, sf_dir):
 
 
 def _changes(spark, sf_dir):
-    now, before = _components(spark, sf_dir, "current"), _components(spark, sf_dir, "previous")
+    rows = cut(events.with_period(coded_events(spark, sf_dir), "ts", NOW, 30))
+    now, before = (_components(spark, sf_dir, p, rows) for p in ("current", "previous"))
     p_now, p_before = cut(relationship.index_pairs(*now)), cut(relationship.index_pairs(*before))
     changes = cut(relationship.pair_changes(p_now, p_before))
     c_now, c_before = (relationship.by_country(p, relationship.universe(*c)) for p, c in ((p_now, now), (p_before, before)))
@@ -124,8 +125,9 @@ def news_text(spark, sf_dir):
 
 
 def news_detect(spark, sf_dir):
-    n = _news(spark, sf_dir).withColumn("t", detect.from_parts(F.col("title"), F.col("summary"), resolve_references=False))
-    scores = detect.score_topics(F.col("t"))
+    n = _news(spark, sf_dir).withColumn("t", settled(detect.from_parts(F.col("title"), F.col("summary"), resolve_references=False)))
+    n = n.withColumn("scores", settled(detect.score_topics(F.col("t"))))
+    scores = F.col("scores")
     return n.select("ingest_seq", F.array_join(detect.detect_countries(F.col("t")), ",").alias("countries"), F.array_join(detect.detect_topics(F.col("t")), ",").alias("topics"),
                     detect.primary_topic(scores).alias("primary_topic"), F.coalesce(F.aggregate(F.map_values(scores), F.lit(0), lambda a, b: a + b), F.lit(0)).alias("keywords"))
 
@@ -136,8 +138,8 @@ def vote_topics(spark, sf_dir):
 
 def text_events(spark, sf_dir):
     """Event records built from the news items' texts, relevant ones only, deduplicated."""
-    built = events.build_text_events(_news(spark, sf_dir))
-    return events.dedup_events(events.relevant(built)).select("ingest_seq", "layer", "title", "topics", "primary_topic", "countries", "country_groups", "country_pairs")
+    built = cut(events.relevant(events.build_text_events(_news(spark, sf_dir))))
+    return events.dedup_events(built).select("ingest_seq", "layer", "title", "topics", "primary_topic", "countries", "country_groups", "country_pairs")
 
 
 def coded_built(spark, sf_dir):

@@ -36,6 +36,14 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return name
 
 
+def settled(c):
+    """``c``, marked so that the optimizer works it out once: no rule repeats or moves an expression that is not deterministic.
+
+    For costly columns that later filters and columns read many times over. It is never null because of this, and the random number is never used.
+    """
+    return F.coalesce(F.when(F.rand(0) < 0, c), c)
+
+
 def blank_trim(c):
     """``c`` without Unicode white space at either end."""
     return F.regexp_replace(c, r"(?U)^[\s​﻿]+|[\s​﻿]+$", "")
