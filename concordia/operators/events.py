@@ -30,8 +30,8 @@ def build_text_events(items: DataFrame, layer: str = "rss") -> DataFrame:
         *[strip(c).alias(c) for c in ("title", "summary", "body", "url")], "published_at", "collected_at",
         *[c for c in items.columns if c in ("news_id", "ingest_seq", "metadata")],
     ).withColumn("_text", settled(from_parts(F.col("title"), F.col("summary"), F.col("body"))))
-    # scores and countries are read several times below: a projection of their own keeps the optimizer from repeating them
-    found = base.withColumns({"topics": detect_topics(F.col("_text")), "_scores": score_topics(F.col("_text")), "countries": detect_countries(F.col("_text"))})
+    # read several times below, and by filters on the result: worked out once
+    found = base.withColumns({"topics": settled(detect_topics(F.col("_text"))), "_scores": settled(score_topics(F.col("_text"))), "countries": settled(detect_countries(F.col("_text")))})
     found = found.withColumn("primary_topic", primary_topic(F.col("_scores"))).drop("_scores")
     return found.withColumns({"country_groups": S.split_groups(F.col("countries")), "country_pairs": S.country_pairs(F.col("countries"))}).drop("_text")
 

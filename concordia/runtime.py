@@ -39,9 +39,9 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
 def settled(c):
     """``c``, marked so that the optimizer works it out once: no rule repeats or moves an expression that is not deterministic.
 
-    For costly columns that later filters and columns read many times over. It is never null because of this, and the random number is never used.
+    For costly columns that later filters and columns read many times over. The row number is only there to be not deterministic; it is never negative.
     """
-    return F.coalesce(F.when(F.rand(0) < 0, c), c)
+    return F.when(F.monotonically_increasing_id() >= 0, c)
 
 
 def blank_trim(c):
