@@ -303,6 +303,8 @@ def segment_languages(rows: DataFrame, row_id: str, title: str, summary: str, mo
                         for k, piece in enumerate(x for x in pieces if x.strip()):
                             found.append((i, part, k))
                             texts.append(piece)
+                if not found:
+                    continue
                 langs, confidence = shared.value.decide(texts)
                 out = pd.DataFrame(found, columns=["id", "part", "segment_no"])
                 out["lang"], out["confidence"], out["letters"] = langs, confidence, [len(letters(t)) for t in texts]
