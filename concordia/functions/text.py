@@ -9,24 +9,25 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _URL = r"(?i)(?:https?://\S+|www\.\S+)"
 _EMAIL = r"(?U)\b[\w.-]+@[\w.-]+\.\w+\b"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(s: pd.Series) -> pd.Series:
     """HTML character references resolved once."""
     return s.map(lambda x: html.unescape(x) if x is not None and "&" in x else x)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def strip_accents(s: pd.Series) -> pd.Series:
     """Compatibility-decomposed, combining marks left out."""
     return s.map(lambda x: x if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def person_name(s: pd.Series) -> pd.Series:
     """Name as a match key: lower case, no marks, hyphens and other non-word characters as blanks."""
     import re

@@ -213,7 +213,8 @@ def replay(table: DataFrame, approved: dict[str, tuple[str, str]]) -> DataFrame:
         has = column in out.columns
         taken = value.isNotNull() & (F.col(f"`{column}`").isNull() if has else F.lit(True))
         moved.append(F.when(taken, F.lit(path)))
-        out = out.withColumn(column, F.coalesce(F.col(f"`{column}`"), value) if has else value).withColumn(f"_moved{len(moved)}", taken)
+        out = out.withColumn(f"_moved{len(moved)}", taken)  # before the column is filled
+        out = out.withColumn(column, F.coalesce(F.col(f"`{column}`"), value) if has else value)
     flags = [f"_moved{i + 1}" for i in range(len(moved))]
     gone = F.array_compact(F.array(*[F.when(F.col(f), F.lit(p)) for f, p in zip(flags, approved)])) if flags else F.array().cast("array<string>")
     left = F.map_filter(F.from_json(RESCUED, "map<string,variant>"), lambda k, v: ~F.array_contains(gone, k))
