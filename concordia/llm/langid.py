@@ -37,6 +37,8 @@ LANGUAGES = {
 #: Scripts told apart where a sample is cleaned.
 _SCRIPTS = {k: regex.compile(rf"[\p{{{k}}}]") for k in ("Latin", "Cyrillic", "Greek", "Arabic", "Devanagari", "Thai", "Han")} | {"Kana": regex.compile(r"[\p{Hiragana}\p{Katakana}]")}
 ORDER = 4
+#: Characters of segments judged as short ones, and from which on as whole sentences usually are; between them in proportion.
+SHORT, LONG = 20, 80
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,7 +51,16 @@ def label_language(label: Column) -> Column:
 
 _NOISE = regex.compile(r"[^\p{L}\p{M}]+")
 _MARKUP = regex.compile(r"<[^>]*>|&#?\w+;")
-_END = regex.compile(r"(?<=[^\d\s][.!?…;。！？।॥؟][\p{Pe}\p{Pf}\"']*)\s+(?=[\p{Pi}\p{Ps}\"'¿¡]*[\p{Lu}\p{Lo}])")
+#: Final marks; the Greek question mark only after Greek. Marks of their own scripts need no blank after them.
+_FINAL = regex.compile(
+    r"(?P<mark>[.!?…。！？।॥؟]+|(?<=\p{Greek}\s?);)[\p{Pe}\p{Pf}\"']*(?P<gap>\s*)(?=[\p{Pi}\p{Ps}\"'¿¡]*(?P<next>[\p{Lu}\p{Lt}\p{Lo}][\p{L}\p{M}]*|\d))"
+)
+_STRONG = frozenset("。！？।॥؟")
+#: Before a period that ends nothing: an initial, a word with inner periods, a title; a figure of one or two digits in a German date or after what asks for an ordinal, or as the number of an item.
+_BOUND = regex.compile(r"(?:^|[^\p{L}\p{M}\d.])(?:\p{Lu}\p{M}*|\p{L}+(?:\.\p{L}+)+|Dr|Mr|Mrs|Ms|Prof|St|Nr|No)$")
+_FIGURE = regex.compile(r"(?:(\p{L}+),?\s+|^\s*)\d{1,2}$")
+_MONTHS = frozenset("Januar Jänner Februar Feber März April Mai Juni Juli August September Oktober November Dezember".split())
+_ASKS_ORDINAL = frozenset("am vom zum bis der die das dem den des im ab seit zur beim".split())
 
 
 def letters(text: str) -> str:
@@ -57,21 +68,38 @@ def letters(text: str) -> str:
     return _NOISE.sub(" ", text.lower()).strip()
 
 
-def sentences(text: str, least: int = 25) -> list[str]:
-    """Whole sentences of a text with markup, roughly; pieces of fewer than ``least`` characters stay with the next one."""
+def _ends(text: str, m: regex.Match) -> bool:
+    """Whether the final mark ``m`` ends a sentence."""
+    mark, gap, follows, at = m["mark"], m["gap"], m["next"], m.start()
+    if mark[-1] in _STRONG:
+        return True
+    if not gap:  # left out by mistake, or inside an address, a figure, an abbreviation
+        return text[at - 2 : at].islower() and text[at - 2 : at].isalpha() and follows[1:].islower() and text[m.end() + len(follows) :][:1].isspace()
+    if mark != ".":
+        return True
+    before = text[max(0, at - 40) : at]
+    if before[-1:].isdigit():
+        if follows.isdigit():
+            return False
+        figure = _FIGURE.search(before)
+        return figure is None or figure[1] is not None and follows not in _MONTHS and figure[1].lower() not in _ASKS_ORDINAL
+    if _BOUND.search(before):
+        return False
+    return not follows.isdigit() or not before[-1:].isalpha() or before[-4:].isalpha()
+
+
+def sentences(text: str) -> list[str]:
+    """Whole sentences of a text with markup, roughly: cut at every final mark, however short the sentences and also where a blank or a figure stands before the mark."""
+    text = _MARKUP.sub(" ", text)
     out: list[str] = []
-    held = ""
-    for piece in _END.split(_MARKUP.sub(" ", text).strip()):
-        held = f"{held} {piece}" if held else piece
-        if len(held) >= least:
-            out.append(held)
-            held = ""
-    if held.strip():
-        if out:
-            out[-1] += " " + held
-        else:
-            out.append(held)
-    return out
+    at = 0
+    for m in _FINAL.finditer(text):
+        if _ends(text, m):
+            out.append(text[at : m.end()].strip())
+            at = m.end()
+    out.append(text[at:].strip())
+    return [x for x in out if x]
+
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -105,6 +133,10 @@ class Models:
     usual: np.ndarray | None = None
     spread: np.ndarray | None = None
     temperature: float = 1.0
+    #: the same of pieces of about ``SHORT`` characters, which are harder to tell
+    short_usual: np.ndarray | None = None
+    short_spread: np.ndarray | None = None
+    short_temperature: float = 1.0
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Total log-likelihood of each text under each language, and the number of characters scored."""
@@ -152,11 +184,12 @@ class Models:
         totals, sizes = self.scores(seen)
         best = totals.argmax(axis=1)
         rows = np.arange(len(texts))
-        scaled = totals / self.temperature
+        # 1 for short segments, 0 from LONG characters on
+        short = np.clip((LONG - sizes) / (LONG - SHORT), 0, 1)
+        scaled = totals / (self.temperature + short * (self.short_temperature - self.temperature))[:, None]
         confidence = 1 / np.exp(scaled - scaled[rows, best][:, None]).sum(axis=1)
         entropy = -totals[rows, best] / sizes
-        # short segments vary more: the spread is that of a segment of 80 characters
-        limit = self.usual[best] + reject * self.spread[best] * np.sqrt(np.maximum(1, 80 / sizes))
+        limit = (1 - short) * (self.usual[best] + reject * self.spread[best]) + short * (self.short_usual[best] + reject * self.short_spread[best] * np.sqrt(np.maximum(1, SHORT / sizes)))
         lost = (entropy > limit) | np.array([not s for s in seen])
         return ["und" if x else self.languages[b] for b, x in zip(best, lost)], np.where([not s for s in seen], 0.0, confidence)
 
@@ -207,15 +240,32 @@ def fit(samples: dict[str, list[str]]) -> Models:
 
 
 def _calibrate(models: Models, held: dict[str, list[str]]) -> None:
-    """Usual cross-entropy per language, its spread, and the temperature of the confidence, on held-out segments."""
+    """Usual cross-entropy per language, its spread, and the temperature of the confidence, on held-out segments whole and cut into short pieces."""
+    models.usual, models.spread, models.temperature = _usual(models, held)
+    cut = {x: [" ".join(p) for t in texts for p in _short_pieces(t)] for x, texts in held.items()}
+    models.short_usual, models.short_spread, models.short_temperature = _usual(models, cut)
+    models.short_temperature = max(models.temperature, models.short_temperature)
+
+
+def _short_pieces(text: str) -> Iterator[list[str]]:
+    """The words of a text in runs of about ``SHORT`` characters."""
+    run: list[str] = []
+    for word in text.split():
+        run.append(word)
+        if sum(map(len, run)) + len(run) > SHORT:
+            yield run
+            run = []
+
+
+def _usual(models: Models, held: dict[str, list[str]]) -> tuple[np.ndarray, np.ndarray, float]:
     n = len(models.languages)
-    models.usual, models.spread = np.full(n, 2.5), np.full(n, 0.3)
+    usual, spread, temperature = np.full(n, 2.5), np.full(n, 0.3), 1.0
     logs, right = [], []
     for j, x in enumerate(models.languages):
         if texts := held.get(x):
             totals, sizes = models.scores(texts)
             entropy = -totals[:, j] / sizes
-            models.usual[j], models.spread[j] = entropy.mean(), max(0.05, entropy.std())
+            usual[j], spread[j] = entropy.mean(), max(0.05, entropy.std())
             logs.append(totals)
             right += [j] * len(texts)
     if right:
@@ -226,7 +276,8 @@ def _calibrate(models: Models, held: dict[str, list[str]]) -> None:
             z = z - z.max(axis=1, keepdims=True)
             return float(-(z[rows, right] - np.log(np.exp(z).sum(axis=1))).mean())
 
-        models.temperature = min((1.0, 2.0, 4.0, 8.0, 16.0, 32.0), key=loss)
+        temperature = min((1.0, 2.0, 4.0, 8.0, 16.0, 32.0), key=loss)
+    return usual, spread, temperature
 
 
 def script(text: str) -> str:
@@ -313,10 +364,10 @@ def segment_languages(rows: DataFrame, row_id: str, title: str, summary: str, mo
     return narrow.mapInPandas(run, "id bigint, part string, segment_no int, lang string, confidence double, letters int")
 
 
-def row_languages(segments: DataFrame, least_letters: int = 12) -> DataFrame:
-    """``id``, ``langs`` (sorted) and the row's ``lang`` (most letters) and ``confidence``; segments of fewer letters count only where a row has no other."""
+def row_languages(segments: DataFrame, least_letters: int = 25, sure: float = 0.95) -> DataFrame:
+    """``id``, ``langs`` (sorted) and the row's ``lang`` (most letters) and ``confidence``; segments of fewer letters count only where they are sure or a row has no other."""
     known = segments.where("lang <> 'und'")
-    long_enough = F.col("letters") >= least_letters
+    long_enough = (F.col("letters") >= least_letters) | (F.col("confidence") >= sure)
     per = known.groupBy("id", "lang").agg(F.sum("letters").alias("n"), F.max(long_enough).alias("clear"), (F.sum(F.col("confidence") * F.col("letters")) / F.sum(F.greatest("letters", F.lit(1)))).alias("confidence"))
     rows = per.groupBy("id").agg(F.collect_list(F.struct("n", "lang", "clear", "confidence")).alias("all"))  # one entry per language
     rows = rows.withColumn("kept", F.when(F.exists("all", lambda x: x["clear"]), F.filter("all", lambda x: x["clear"])).otherwise(F.slice(F.sort_array("all", asc=False), 1, 1)))

@@ -180,6 +180,35 @@ def test_segments(spark):
     assert [(r["id"], r["langs"], r["lang"]) for r in got] == [(1, ["de", "en"], "de")]
 
 
+WHOLE = [
+    ("Der Rat tagt … Le conseil a voté. The talks go on. Nobody objected !", ["Der Rat tagt …", "Le conseil a voté.", "The talks go on.", "Nobody objected !"]),
+    ("Es waren 768477. Rada souhlasí? Am 19. März kam er. Die 3. Kammer tagt.", ["Es waren 768477.", "Rada souhlasí?", "Am 19. März kam er.", "Die 3. Kammer tagt."]),
+    ("It passed with 12. Dr. K. Lum of the U.S. Office left.The end", ["It passed with 12.", "Dr. K. Lum of the U.S. Office left.", "The end"]),
+    ("Dne 14. března; Rada … 委员会推迟了。法院！", ["Dne 14. března; Rada …", "委员会推迟了。", "法院！"]),
+    ("Ποιος; Κανείς. It is at x.example.org today. 7 left", ["Ποιος;", "Κανείς.", "It is at x.example.org today.", "7 left"]),
+    ("", []), (" <p> </p>", []),
+]
+
+
+@pytest.mark.parametrize("text,want", WHOLE)
+def test_whole_sentences(text, want):
+    assert langid.sentences(text) == want
+
+
+def test_short_sentences_count_by_themselves(spark):
+    """Rows that lost the language of a sentence glued to its neighbour; a short sentence of a row in another language has less confidence than a long one."""
+    news = table(spark, "/root/testdata/sf0.1", "news_items")
+    label = F.try_element_at("metadata", F.lit("lang"))
+    models = langid.train(news, "news_id", label, [F.col("title"), F.col("summary")])
+    rows = news.where("news_id IN (4129, 11067, 11560)").select("news_id", "title", "summary")
+    rows = rows.union(spark.createDataFrame([(-1, None, "Súdna komora v Tinutazu zamietla všetkých 899907 námietok pre spor s Zadupar, a podrobnosti budú nasledovať budúci týždeň … The talks go on.")], rows.schema))
+    segments = langid.segment_languages(rows, "news_id", "title", "summary", models)
+    got = {r["id"]: r["langs"] for r in langid.row_languages(segments).collect()}
+    assert got == {4129: ["it", "uk"], 11067: ["sk", "uk"], 11560: ["bg", "ro"], -1: ["en", "sk"]}
+    (_, long_), (_, short) = sorted((r["segment_no"], r["confidence"]) for r in segments.where("id = -1").collect())
+    assert short < long_
+
+
 # mixing
 
 
