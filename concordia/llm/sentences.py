@@ -4,13 +4,16 @@ Learned without labels, per language: which words are abbreviations (their
 period belongs to them far more often than chance lets it: log-likelihood ratio,
 weighted by length, inner periods and the share of uses without a period), which
 of these also close sentences (they stand at the end of a paragraph), which
-words start sentences, and which words go on after a closed quotation. Each
+words start sentences (log-likelihood ratio of first words), which words follow
+a closing abbreviation as a fixed pair (log-likelihood ratio of the pair around
+the period), and which words go on after a closed quotation. Each
 possible boundary is then classified by its mark, what stands around it, and
 these statistics.
 
 Counting is one pass over all documents; a task sums its counts before they are
-shuffled, and only words above a share of their language's words reach the
-driver (at most 1 / ``least_share`` per language).
+shuffled, the ratios are worked out in Spark for every word of every language,
+and only words judged abbreviations, starters, pairs or continuations reach the
+driver, with what the other languages make of the same words.
 """
 
 from __future__ import annotations
@@ -86,11 +89,11 @@ def is_lower(text: str) -> bool:
 
 
 def word_counts(text: str) -> Counter:
-    """(kind, word) -> n. Words keep their case; starters are in lower case.
+    """(kind, word, word after or "") -> n. Words keep their case; starters and words after are in lower case.
 
     p/w: followed by a period or not; e: with its period at the end of a paragraph; c: with its period, then a small letter or a figure;
-    s: starts a paragraph or follows a long word with a mark; m: in small letters within a sentence; qs, qc: capital or small after a closed
-    quotation that ends in ! or ?.
+    s: starts a paragraph or follows a long word with a mark; b: pair around a period; qs, qc: capital or small after a closed quotation that
+    ends in ! or ?.
     """
     out: Counter = Counter()
     plain: list[str] = []
@@ -99,41 +102,40 @@ def word_counts(text: str) -> Counter:
         block = text[a:b]
         first = _NEXT.match(block)
         if first and not lower:
-            out["s", _nfc(first.group()).lower()] += 1
-        before = -2  # where the word before ended, if without a period
+            out["s", _nfc(first.group()).lower(), ""] += 1
         for m in _WORD.finditer(block):
-            start, end = m.span()
+            end = m.end()
             word = m.group()
             if word[0].isdigit():
-                before = end
                 continue
             word = _nfc(word)
-            if not lower and start == before + 1 and block[before] == " " and word[0].islower():
-                out["m", _NEXT.match(word).group().lower()] += 1
             after = block[end : end + 1]
             dotted = word[-1] == "." and word[-2:] != ".." and (not after or after.isspace() or after in ",;:)”’»“\"'!?")
             body = word.rstrip(".") if word[-1] == "." else word
             if not dotted:
                 plain.append(body)
-                before = end
                 continue
-            out["p", body] += 1
-            before = -2
+            out["p", body, ""] += 1
             if not lower:
                 n = end
                 while n < len(block) and block[n].isspace():
                     n += 1
                 if n == len(block):
-                    out["e", body] += 1
-                elif block[n].islower() or block[n].isdigit():
-                    out["c", body] += 1
-                elif len(body) >= 5 and "." not in body and block[n].isupper() and (follows := _NEXT.match(block, n)):
-                    out["s", _nfc(follows.group()).lower()] += 1
+                    out["e", body, ""] += 1
+                    continue
+                follows = _NEXT.match(block, n)
+                after = _nfc(follows.group()).lower() if follows else ""
+                if after:
+                    out["b", body, after] += 1
+                if block[n].islower() or block[n].isdigit():
+                    out["c", body, ""] += 1
+                elif after and len(body) >= 5 and "." not in body and block[n].isupper():
+                    out["s", after, ""] += 1
         if not lower:
             for m in regex.finditer(r"[!?]+[”’»“]\s+([\p{Lu}\p{Ll}][\p{L}\p{M}]*)", block):
-                out["qs" if m.group(1)[0].isupper() else "qc", _nfc(m.group(1)).lower()] += 1
+                out["qs" if m.group(1)[0].isupper() else "qc", _nfc(m.group(1)).lower(), ""] += 1
     for word, n in Counter(plain).items():
-        out["w", word] = n
+        out["w", word, ""] = n
     return out
 
 
@@ -146,6 +148,17 @@ class Model:
     anywhere: dict[str, bool] = field(default_factory=dict)
     starters: set[str] = field(default_factory=set)
     goes_on: set[str] = field(default_factory=set)
+    #: What each language makes of a word that starts sentences (goes on after quotations) in some language, if it knows; ``starters`` and ``goes_on`` hold what the language that uses it most makes of it.
+    starters_of: dict[str, dict[str, bool]] = field(default_factory=dict)
+    goes_on_of: dict[str, dict[str, bool]] = field(default_factory=dict)
+    #: (closing abbreviation, word after) per language
+    pairs: dict[str, set[tuple[str, str]]] = field(default_factory=dict)
+
+    def starts(self, word: str, lang: str) -> bool:
+        return self.starters_of.get(lang, {}).get(word, word in self.starters)
+
+    def continues(self, word: str, lang: str) -> bool:
+        return self.goes_on_of.get(lang, {}).get(word, word in self.goes_on)
 
     def abbreviation(self, word: str, lang: str) -> bool | None:
         """None: no abbreviation; else whether it also closes sentences. A language that does not know a word takes it as the language does that uses it most."""
@@ -174,62 +187,123 @@ def abbreviation_score(word: str, with_period: int, without: int, period_share:
     return ratio * math.exp(-length) * inner * max(2, length) ** (-100 * without / (with_period + without))
 
 
-def learn(documents: DataFrame, text: Column, label: Column, least_share: float = 1e-6, least_count: int = 5, threshold: float = 0.3, closing_share: float = 0.015) -> Model:
-    """A model of all documents. Texts without a known label count as language ``und``; null texts count nothing."""
+def _abbreviation_score(period_share: Column) -> Column:
+    """:func:`abbreviation_score` of the columns ``word``, ``p`` and ``w``."""
+    share = F.least(F.greatest(period_share, F.lit(1e-9)), F.lit(1 - 1e-9))
+    p, w = F.col("p").cast("double"), F.col("w").cast("double")
+    ratio = -2 * (p * F.log(share) + w * F.log(1 - share) - p * math.log(0.99) - w * math.log(0.01))
+    letters = F.length(F.replace("word", F.lit("."), F.lit("")))
+    length = F.greatest(F.lit(1), letters)
+    return ratio * F.exp(-length.cast("double")) * (F.length("word") - letters + 1) * F.pow(F.greatest(F.lit(2), length).cast("double"), -100 * w / (p + w))
+
+
+def association(a: Column, b: Column, both: Column, n: Column) -> Column:
+    """Dunning's log-likelihood ratio of two events counted ``a`` and ``b`` times, ``both`` together, among ``n``; negative if they avoid each other."""
+    a, b, both, n = (x.cast("double") for x in (a, b, both, n))
+    b = F.greatest(b, both)
+    n = F.greatest(n, a + b)
+
+    def likelihood(k: Column, of: Column, share: Column) -> Column:
+        share = F.least(F.greatest(share, F.lit(1e-12)), F.lit(1 - 1e-12))
+        return k * F.log(share) + (of - k) * F.log(1 - share)
+
+    free, own, rest = b / n, both / a, (b - both) / (n - a)
+    ratio = 2 * (likelihood(both, a, own) + likelihood(b - both, n - a, rest) - likelihood(both, a, free) - likelihood(b - both, n - a, free))
+    return F.when(own > free, ratio).otherwise(-ratio)
+
+
+def _judged(rows: DataFrame, yes: str) -> list:
+    """The rows of every word that ``yes`` is true of in some language: bounded by the words so judged times the languages."""
+    words = rows.where(yes).select("word").distinct()
+    return rows.join(words, "word", "left_semi").orderBy("word", "lang").collect()
+
+
+def learn(documents: DataFrame, text: Column, label: Column, least_share: float = 1e-6, least_count: int = 5, threshold: float = 0.3, closing_share: float = 0.015, significant: float = 7.88) -> Model:
+    """A model of all documents. Texts without a known label count as language ``und``; null texts count nothing.
+
+    A word is a starter, or a pair of a closing abbreviation and the word after it is fixed, from a log-likelihood ratio of ``significant`` on; starters make no fixed pairs.
+    Pairs are judged among all words around periods, so a word that merely often starts sentences makes none. Pairs after figures and initials need not be known: these end a sentence only before a starter.
+    """
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sums: Counter = Counter()
             for lang, t in frame.itertuples(index=False):
                 if t:
-                    for (kind, word), n in word_counts(t).items():
-                        sums[lang, kind, word] += n
+                    for key, n in word_counts(t).items():
+                        sums[lang, *key] += n
             if not sums:
                 continue
             keys = list(zip(*sums))
-            yield pd.DataFrame({"lang": keys[0], "kind": keys[1], "word": keys[2], "n": list(sums.values())})
+            yield pd.DataFrame({"lang": keys[0], "kind": keys[1], "word": keys[2], "after": keys[3], "n": list(sums.values())})
 
-    pairs = documents.select(F.coalesce(label_language(label), F.lit("und")).alias("lang"), text.alias("t"))
-    raw = pairs.mapInPandas(count, "lang string, kind string, word string, n bigint").groupBy("lang", "word").pivot("kind", ["p", "w", "e", "c", "s", "m", "qs", "qc"]).agg(F.sum("n")).na.fill(0)
-    raw = raw.persist()
+    texts = documents.select(F.coalesce(label_language(label), F.lit("und")).alias("lang"), text.alias("t"))
+    counted = texts.mapInPandas(count, "lang string, kind string, word string, after string, n bigint").groupBy("lang", "word", "after")
+    raw = counted.pivot("kind", ["p", "w", "e", "c", "s", "b", "qs", "qc"]).agg(F.sum("n")).na.fill(0).persist()
     try:
-        totals = {r["lang"]: (r["p"], r["w"]) for r in raw.groupBy("lang").agg(F.sum("p").alias("p"), F.sum("w").alias("w")).collect()}
+        totals = {r["lang"]: (r["p"], r["w"], r["s"]) for r in raw.groupBy("lang").agg(*[F.sum(k).alias(k) for k in "pws"]).collect()}
         if not totals:
             return Model()
-        size = F.create_map(*[x for k, (p, w) in totals.items() for x in (F.lit(k), F.lit(max(least_count, least_share * (p + w))))])
-        rows = raw.where((F.col("p") >= size[F.col("lang")]) | (F.col("s") >= size[F.col("lang")]) | (F.col("qc") >= size[F.col("lang")])).collect()
+
+        def of_lang(f) -> Column:
+            return F.create_map(*[F.lit(x) for k, v in totals.items() for x in (k, float(f(*v)))])[F.col("lang")]
+
+        n_words, n_starts = of_lang(lambda p, w, s: p + w), of_lang(lambda p, w, s: s)
+        words = raw.where("after = ''")
+        # words that only ever end sentences are followed by capitals or nothing; short ones must show that they are abbreviations some other way
+        ends_only = (F.col("c") == 0) & ~F.contains("word", F.lit(".")) & (F.length("word") > 4) & (F.col("w") > 0.02 * (F.col("p") + F.col("w")))
+        score = _abbreviation_score(of_lang(lambda p, w, s: p / max(1, p + w)))
+        closes = (F.col("e") >= closing_share * F.col("p")) & (F.col("e") >= 1)
+        size = of_lang(lambda p, w, s: max(least_count, least_share * (p + w)))
+        dotted = words.where(F.col("p") >= size).select("lang", "word", ((score >= threshold) & ~ends_only).alias("is_one"), closes.alias("closes"), (F.col("p") + F.col("w")).alias("n"))
+        abbreviations = _judged(dotted, "is_one")
+
+        folded = words.groupBy("lang", F.lower("word").alias("word")).agg(*[F.sum(k).alias(k) for k in ("s", "qs", "qc")], F.sum(F.col("p") + F.col("w")).alias("n"))
+        ratio = association(n_starts, F.col("n"), F.col("s"), n_words)
+        known = folded.select("lang", "word", "n", ((F.col("s") >= of_lang(lambda p, w, s: max(least_count, least_share * (p + w)))) & (ratio >= significant)).alias("starts"), (ratio <= -significant).alias("not_start"))
+        starters = _judged(known, "starts")
+        quoted = _judged(folded.where("qc + qs > 0").select("lang", "word", F.expr("qc + qs AS n"), F.expr("qc >= 2 AND qc > qs").alias("goes"), F.expr("qs >= qc").alias("stays")), "goes")
+
+        around = raw.where("b > 0").select("lang", "word", "after", "b")
+        n_pairs = {r["lang"]: float(r["n"]) for r in around.groupBy("lang").agg(F.sum("b").alias("n")).collect()}
+        n_after = around.groupBy("lang", "after").agg(F.sum("b").alias("n_after"))
+        closing = documents.sparkSession.createDataFrame([(r["lang"], r["word"]) for r in abbreviations if r["is_one"] and r["closes"]], "lang string, word string")
+        around = around.join(closing, ["lang", "word"])
+        around = around.join(around.groupBy("lang", "word").agg(F.sum("b").alias("n_word")), ["lang", "word"])
+        around = around.where(F.col("b") >= least_count).join(n_after, ["lang", "after"])
+        around = around.join(known.select("lang", F.col("word").alias("after"), "starts"), ["lang", "after"])
+        among = F.create_map(*[F.lit(x) for kv in n_pairs.items() for x in kv])[F.col("lang")] if n_pairs else F.lit(0.0)
+        fixed = around.where(~F.col("starts") & (association(F.col("n_word"), F.col("n_after"), F.col("b"), among) >= significant)).select("lang", "word", "after").collect()
     finally:
         raw.unpersist()
 
     model = Model()
     most: dict[str, int] = {}
-    starts, within, q_starts, q_goes = Counter(), Counter(), Counter(), Counter()
-    for r in rows:
-        lang, word, p, w = r["lang"], r["word"], r["p"], r["w"]
-        starts[word] += r["s"]
-        within[word] += r["m"]
-        q_starts[word] += r["qs"]
-        q_goes[word] += r["qc"]
-        if p < least_count:
-            continue
-        n_p, n_w = totals[lang]
-        score = abbreviation_score(word, p, w, n_p / max(1, n_p + n_w))
-        # words that only ever end sentences are followed by capitals or nothing; short ones must show that they are abbreviations some other way
-        ends_only = r["c"] == 0 and "." not in word and len(word) > 4 and w > 0.02 * (p + w)
-        found = None
-        if score >= threshold and not ends_only:
-            found = r["e"] >= closing_share * p and r["e"] >= 1
-            model.abbreviations.setdefault(lang, {})[word] = found
+    for r in abbreviations:
+        word = r["word"]
+        found = r["closes"] if r["is_one"] else None
+        if found is None:
+            model.plain.setdefault(r["lang"], set()).add(word)
         else:
-            model.plain.setdefault(lang, set()).add(word)
-        if p + w > most.get(word, 0):
-            most[word] = p + w
+            model.abbreviations.setdefault(r["lang"], {})[word] = found
+        if r["n"] > most.get(word, 0):
+            most[word] = r["n"]
             if found is None:
                 model.anywhere.pop(word, None)
             else:
                 model.anywhere[word] = found
-    model.starters = {x for x, n in starts.items() if n >= least_count and n > 0.02 * within[x]}
-    model.goes_on = {x for x, n in q_goes.items() if n >= 2 and n > q_starts[x]}
+    for rows, yes, no, own, anywhere in ((starters, "starts", "not_start", model.starters_of, model.starters), (quoted, "goes", "stays", model.goes_on_of, model.goes_on)):
+        most = {}
+        for r in rows:
+            if not (r[yes] or r[no]):
+                continue
+            if r["lang"] != "und":
+                own.setdefault(r["lang"], {})[r["word"]] = r[yes]
+            if r["n"] > most.get(r["word"], 0):
+                most[r["word"]] = r["n"]
+                (anywhere.add if r[yes] else anywhere.discard)(r["word"])
+    for r in fixed:
+        model.pairs.setdefault(r["lang"], set()).add((r["word"], r["after"]))
     return model
 
 
@@ -291,7 +365,7 @@ def _ends(text: str, a: int, b: int, start: int, mark: str, close: str, end: int
     nxt, spaced = text[n], n > end
     follows = _NEXT.match(text, n, b)
     word = _nfc(follows.group()).lower() if follows else ""
-    starter = word in model.starters
+    starter = model.starts(word, lang)
     strong = mark[-1] in STRONG or mark[0] in STRONG or set(mark) == {"…"} and bool(regex.match(r"[\p{Han}\p{Hiragana}\p{Katakana}]", text[start - 1 : start]))
     quoted = bool(close.strip(" )]）】   "))
     if nxt in _GOES_ON and not (nxt in "-–—" and not quoted and spaced and mark[-1] not in "."):
@@ -311,7 +385,7 @@ def _ends(text: str, a: int, b: int, start: int, mark: str, close: str, end: int
             if not lower:
                 return False
             if quoted:
-                return starter and word not in model.goes_on
+                return starter and not model.continues(word, lang)
             return starter if dots else True
         return True
 
@@ -352,7 +426,7 @@ def _ends(text: str, a: int, b: int, start: int, mark: str, close: str, end: int
             return closes and starter
         return not (len(body) == 1 and body.isalpha())
     if closes is not None:
-        return closes and not (follows and len(follows.group()) == 1 and text[follows.end() : follows.end() + 1] == ".")
+        return closes and (body, word) not in model.pairs.get(lang, ()) and not (follows and len(follows.group()) == 1 and text[follows.end() : follows.end() + 1] == ".")
     if initial:
         return starter and not text[follows.end() : follows.end() + 1] == "." if follows else False
     return True

@@ -300,3 +300,24 @@ def test_learned_from_documents(spark):
     assert sentences.learn(documents.limit(0), F.col("text"), F.col("lang")).starters == set()
     out = sentences.split_documents(spark.createDataFrame([(1, None, "en"), (2, "One. Two " * 20_000, None)], "d long, t string, l string"), "d", "t", "l", m)
     assert out.where("doc_id = 1").count() == 0 and out.where("doc_id = 2").count() > 0
+
+
+def _learned(spark, rows):
+    return sentences.learn(spark.createDataFrame(rows, "t string, l string"), F.col("t"), F.col("l"))
+
+
+def test_starters_are_of_a_language(spark):
+    """A large language's uses within sentences neither hide a small one's starter nor does the small one lend it to the large one."""
+    rows = [("The council met a man on a road with a dog and a cat in a car. The talks go on.", "en")] * 600 + [("A tanács ülésezett. A bizottság döntött ma este. A polgármester hallgatott.", "hu")] * 8
+    m = _learned(spark, rows)
+    assert m.starts("a", "hu") and not m.starts("a", "en") and m.starts("the", "en") and m.starts("the", "hu")
+    text = "A bíró elutasította 12. A tanács hallgatott."
+    assert len(sentences.sentence_spans(text, "hu", m)) == 2 and len(sentences.sentence_spans(text, "en", m)) == 1
+
+
+def test_pairs_around_a_period(spark):
+    """A closing abbreviation ends no sentence before the word it forms a fixed pair with."""
+    rows = [("He saw gas, oil, etc.", "en")] * 8 + [("He met etc. Bell in town today. Nobody objected.", "en")] * 12 + [("He saw gas, etc. Later on they all left. Nothing happened.", "en")] * 12 + [("Later on they all left the building. Later on it rained.", "en")] * 30
+    m = _learned(spark, rows)
+    assert m.abbreviation("etc", "en") is True and m.pairs == {"en": {("etc", "bell")}}
+    assert len(sentences.sentence_spans("He met etc. Bell in town.", "en", m)) == 1 and len(sentences.sentence_spans("He saw etc. Later on he left.", "en", m)) == 2
