@@ -218,7 +218,7 @@ def _judged(rows: DataFrame, yes: str) -> list:
     return rows.join(words, "word", "left_semi").orderBy("word", "lang").collect()
 
 
-def learn(documents: DataFrame, text: Column, label: Column, least_share: float = 1e-6, least_count: int = 5, threshold: float = 0.3, closing_share: float = 0.015, significant: float = 7.88) -> Model:
+def learn(documents: DataFrame, text: Column, label: Column, least_count: int = 5, threshold: float = 0.3, closing_share: float = 0.015, significant: float = 7.88) -> Model:
     """A model of all documents. Texts without a known label count as language ``und``; null texts count nothing.
 
     A word is a starter, or a pair of a closing abbreviation and the word after it is fixed, from a log-likelihood ratio of ``significant`` on; starters make no fixed pairs.
@@ -254,13 +254,12 @@ def learn(documents: DataFrame, text: Column, label: Column, least_share: float
         ends_only = (F.col("c") == 0) & ~F.contains("word", F.lit(".")) & (F.length("word") > 4) & (F.col("w") > 0.02 * (F.col("p") + F.col("w")))
         score = _abbreviation_score(of_lang(lambda p, w, s: p / max(1, p + w)))
         closes = (F.col("e") >= closing_share * F.col("p")) & (F.col("e") >= 1)
-        size = of_lang(lambda p, w, s: max(least_count, least_share * (p + w)))
-        dotted = words.where(F.col("p") >= size).select("lang", "word", ((score >= threshold) & ~ends_only).alias("is_one"), closes.alias("closes"), (F.col("p") + F.col("w")).alias("n"))
+        dotted = words.where(F.col("p") >= least_count).select("lang", "word", ((score >= threshold) & ~ends_only).alias("is_one"), closes.alias("closes"), (F.col("p") + F.col("w")).alias("n"))
         abbreviations = _judged(dotted, "is_one")
 
         folded = words.groupBy("lang", F.lower("word").alias("word")).agg(*[F.sum(k).alias(k) for k in ("s", "qs", "qc")], F.sum(F.col("p") + F.col("w")).alias("n"))
         ratio = association(n_starts, F.col("n"), F.col("s"), n_words)
-        known = folded.select("lang", "word", "n", ((F.col("s") >= of_lang(lambda p, w, s: max(least_count, least_share * (p + w)))) & (ratio >= significant)).alias("starts"), (ratio <= -significant).alias("not_start"))
+        known = folded.select("lang", "word", "n", ((F.col("s") >= least_count) & (ratio >= significant)).alias("starts"), (ratio <= -significant).alias("not_start"))
         starters = _judged(known, "starts")
         quoted = _judged(folded.where("qc + qs > 0").select("lang", "word", F.expr("qc + qs AS n"), F.expr("qc >= 2 AND qc > qs").alias("goes"), F.expr("qs >= qc").alias("stays")), "goes")
 

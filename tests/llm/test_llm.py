@@ -321,3 +321,11 @@ def test_pairs_around_a_period(spark):
     m = _learned(spark, rows)
     assert m.abbreviation("etc", "en") is True and m.pairs == {"en": {("etc", "bell")}}
     assert len(sentences.sentence_spans("He met etc. Bell in town.", "en", m)) == 1 and len(sentences.sentence_spans("He saw etc. Later on he left.", "en", m)) == 2
+
+
+def test_rare_abbreviation_of_a_large_language(spark):
+    """What is learned of a word does not depend on how large the rest of its language is."""
+    words = spark.range(8).select(F.repeat(F.lit("rada mesta "), 500_000).alias("t"), F.lit("sk").alias("l"))
+    few = spark.createDataFrame([("Prišiel p. Kolo a riad. Novak spolu. Hotovo, riad. konal.", "sk")] * 6, "t string, l string")
+    m = sentences.learn(words.union(few), F.col("t"), F.col("l"))
+    assert m.abbreviation("riad", "sk") is not None
