@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from concordia.functions.timestamps import known_zones, with_utc_micros
 from concordia.operators.deliveries import first_copies, keep_one_copy, numeric_identity, repeated_copies
-from concordia.operators.drift import field_changes, file_fields, ingest, replay
+from concordia.operators.drift import FIELDS, field_changes, file_fields, ingest, promotions, replay
 from concordia.operators.rolling import latest_daily_amounts, rolling_totals, undirected
-from concordia.runtime import table
+from concordia.runtime import cut, table
 
 #: The columns the raw lines are read into.
 EVENT_TARGET = {
@@ -18,18 +18,16 @@ EVENT_TARGET = {
     "country_groups.eu": "array<string>", "country_groups.external": "array<string>",
     "metadata.raw_source": "string", "num_mentions": "double", "is_main": "boolean",
 }
-#: Rescued fields approved for replay: path -> (column, type).
-EVENT_APPROVED = {
-    "editor_flag": ("editor_flag", "boolean"), "reader_count": ("reader_count", "bigint"),
-    "metadata.rawSource": ("metadata_raw_source", "string"), "raw_source": ("metadata_raw_source", "string"), "link": ("url", "string"), "headline": ("title", "string"),
-}
 _FILE = ["feed", "file_name", "file_date", "file_seq"]
 P7_END = "2026-04-15"
 
 
+def _p3_report(ingested: DataFrame) -> DataFrame:
+    return field_changes(file_fields(ingested, _FILE, "line_no"), "feed", "file_name", ["file_date", "file_seq"])
+
+
 def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = file_fields(table(spark, sf_dir, "raw_lines"), "payload", _FILE, "line_no")
-    return field_changes(fields, "feed", "file_name", ["file_date", "file_seq"])
+    return _p3_report(ingest(table(spark, sf_dir, "raw_lines"), "payload", EVENT_TARGET))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,12 +35,13 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "raw_lines")
-    return replay(ingest(lines, "payload", EVENT_TARGET), EVENT_APPROVED)
+    """All lines in one table: every promotion that the report proposes is approved and replayed."""
+    ingested = cut(ingest(table(spark, sf_dir, "raw_lines"), "payload", EVENT_TARGET))
+    return replay(ingested, promotions(_p3_report(ingested), EVENT_TARGET)).drop(FIELDS)
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
-    rows = with_utc_micros(table(spark, sf_dir, "coded_messages"), "collected_micros", "collected_at")
+    rows = with_utc_micros(table(spark, sf_dir, "coded_messages").select("row_id", "batch_id", "collected_at", "metadata"), "collected_micros", "collected_at")
     return rows, {"key": numeric_identity(F.try_element_at("metadata", F.lit("GlobalEventID"))), "instant": F.col("collected_micros")}
 
 
@@ -123,7 +122,26 @@ r AS (SELECT network, s AS source, t AS target, edge_day, date_diff('day', first
   CAST(sum(cents) OVER (PARTITION BY network, s, t ORDER BY edge_day ROWS 29 PRECEDING) AS BIGINT) AS cents_30 FROM f)
 """
 
+_P3 = """
+WITH leaf AS (SELECT r.feed, r.file_name, r.file_date, r.file_seq, r.line_no, substr(t.fullkey, 3) AS p, t.type AS jt, CASE WHEN t.type = 'ARRAY' THEN json_extract(r.payload, t.fullkey) END AS items
+  FROM (SELECT * FROM raw_lines WHERE json_valid(payload) AND json_type(payload) = 'OBJECT') r, json_tree(r.payload) t WHERE t.type <> 'OBJECT' AND t.fullkey NOT LIKE '%[%' AND t.fullkey <> '$'),
+inner_type AS (SELECT *, CASE WHEN jt = 'ARRAY' THEN list_filter(list_transform(json_extract(items, '$[*]'), lambda x: json_type(x)), lambda x: x <> 'NULL')[1] END AS it FROM leaf),
+kinds AS (SELECT *, CASE jt WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN NULL WHEN 'ARRAY' THEN
+  CASE it WHEN 'VARCHAR' THEN 'list of strings' WHEN 'OBJECT' THEN 'list of objects' WHEN 'BOOLEAN' THEN 'list of booleans' WHEN 'ARRAY' THEN 'list of lists' ELSE CASE WHEN it IS NOT NULL THEN 'list of numbers' END END ELSE 'number' END AS k FROM inner_type),
+fields AS (SELECT feed, file_name, file_date, file_seq, p, arg_max(k, line_no) FILTER (k IS NOT NULL) AS k FROM kinds GROUP BY ALL),
+files AS (SELECT *, row_number() OVER (PARTITION BY feed ORDER BY file_date, file_seq, file_name) AS no, count(*) OVER (PARTITION BY feed) AS last_no FROM (SELECT DISTINCT feed, file_name, file_date, file_seq FROM fields)),
+st AS (SELECT f.feed, f.p, n.no, n.last_no, last_value(f.k IGNORE NULLS) OVER (PARTITION BY f.feed, f.p ORDER BY n.no) AS k FROM fields f JOIN files n USING (feed, file_name, file_date, file_seq)),
+ev AS (SELECT a.feed, a.p, a.no, 'added' AS what, NULL AS old, a.k AS new FROM st a LEFT JOIN st b ON a.feed = b.feed AND a.p = b.p AND b.no = a.no - 1 WHERE a.no > 1 AND b.p IS NULL
+  UNION ALL SELECT a.feed, a.p, a.no + 1, 'removed', a.k, NULL FROM st a LEFT JOIN st b ON a.feed = b.feed AND a.p = b.p AND b.no = a.no + 1 WHERE a.no < a.last_no AND b.p IS NULL
+  UNION ALL SELECT a.feed, a.p, a.no, 'retyped', b.k, a.k FROM st a JOIN st b ON a.feed = b.feed AND a.p = b.p AND b.no = a.no - 1 WHERE a.k <> b.k),
+pair AS (SELECT feed, no FROM ev WHERE what <> 'retyped' GROUP BY ALL HAVING count(*) = 2 AND count(*) FILTER (what = 'added') = 1 AND max(new) = max(old)),
+out AS (SELECT feed, no, p AS field_path, what AS change_kind, old AS old_type, new AS new_type, NULL AS old_path FROM ev WHERE what = 'retyped' OR (feed, no) NOT IN (SELECT (feed, no) FROM pair)
+  UNION ALL SELECT a.feed, a.no, a.p, 'renamed', r.old, a.new, r.p FROM pair JOIN ev a ON a.feed = pair.feed AND a.no = pair.no AND a.what = 'added' JOIN ev r ON r.feed = pair.feed AND r.no = pair.no AND r.what = 'removed')
+"""
+
 ORACLE = {
+    "p3_found": _P3 + "SELECT file_name, field_path, change_kind FROM out JOIN files USING (feed, no)",
+    "p3_report": _P3 + "SELECT feed, file_name, field_path, change_kind, old_type, new_type, old_path FROM out JOIN files USING (feed, no)",
     "p4_found": _P4 + "SELECT row_id FROM k WHERE rn > 1",
     "p4_kept": _P4 + "SELECT CAST(CAST(id AS BIGINT) AS VARCHAR) AS global_event_id, n AS copies, row_id AS kept_row_id FROM k WHERE rn = 1 AND n > 1",
     "p4_messages": _P4 + "SELECT row_id, batch_id, collected_at FROM coded_messages WHERE row_id NOT IN (SELECT row_id FROM k WHERE rn > 1)",

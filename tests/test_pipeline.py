@@ -6,9 +6,9 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from concordia.operators.deliveries import keep_one_copy, numeric_identity, repeated_copies
-from concordia.operators.drift import field_changes, file_fields, ingest, leaves, parse_object, replay, type_of
+from concordia.operators.drift import field_changes, file_fields, ingest, leaves, parse_object, promotions, replay, type_of
 from concordia.operators.rolling import latest_daily_amounts, rolling_totals, undirected
-from concordia.plans.pipeline_queries import p3_found
+from concordia.plans.pipeline_queries import p3_found, p3_table
 from concordia.runtime import table
 
 # deliveries
@@ -74,7 +74,7 @@ def test_types_and_malformed():
 def _report(spark, files):
     rows = [("f", f"f/{n}", n, i, json.dumps(o) if isinstance(o, dict) else o) for n, lines in enumerate(files) for i, o in enumerate(lines)]
     df = spark.createDataFrame(rows, "feed string, file string, seq int, no int, payload string")
-    out = field_changes(file_fields(df, "payload", ["feed", "file", "seq"], "no"), "feed", "file", ["seq"])
+    out = field_changes(file_fields(ingest(df, "payload", {"a": "double"}), ["feed", "file", "seq"], "no"), "feed", "file", ["seq"])
     return sorted((r["file"], r["field_path"], r["change_kind"]) for r in out.collect())
 
 
@@ -120,3 +120,32 @@ def test_rescue_and_replay(spark):
     assert got == {1: ("old", "x", 3.0, {"u.v": 1}), 2: ("old", None, None, {"a": 5, "n": "many"}), 3: ("old", None, None, {"_malformed": "{broken"}), 4: ("old", None, None, None), 5: ("old", None, None, {"b": "late"})}
     again = {r["id"]: (r["a"], r["uv"], r["_rescued"] and json.loads(r["_rescued"])) for r in replay(out, {"b": ("a", "string"), "u.v": ("uv", "bigint")}).collect()}
     assert again == {1: ("x", 1, None), 2: (None, None, {"a": 5, "n": "many"}), 3: (None, None, {"_malformed": "{broken"}), 4: (None, None, None), 5: ("late", None, None)}
+
+
+def test_promotions_follow_names_and_replay_keeps_values(spark):
+    target = {"n": "double", "g.x": "array<string>", "t": "string", "b": "boolean"}
+    change = lambda p, kind, old=None, new=None: ("f", "f/1", p, kind, None, new, old)
+    rows = [change("g.y", "renamed", "g.x", "string"), change("z", "renamed", "g.y", "list of objects"), change("T", "added", None, "string"), change("k", "added", None, "number"), change("k", "retyped", None, "string"), change("gone", "removed")]
+    report = spark.createDataFrame(rows, "feed string, file_name string, field_path string, change_kind string, old_type string, new_type string, old_path string")
+    approved = promotions(report, target)
+    assert approved == {"n": ("n", "double"), "g.x": ("g_x", "array<string>"), "t": ("t", "string"), "b": ("b", "boolean"), "g.y": ("g_x", "array<string>"), "z": ("g_x", "array<string>"), "T": ("t", "string"), "k": ("k", "double")}
+    assert promotions(report.limit(0), {}) == {} and replay(report, {}) is report
+    lines = ['{"n": "7.5", "g": {"y": "A; B"}, "T": 4, "b": "yes"}', '{"z": [{"c": 1}], "k": "x", "b": 3, "t": ["q"]}', '{"g": {"x": ["A"], "y": ["B"]}, "k": 2, "T": null}']
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "id int, payload string")
+    got = {r["id"]: (r["n"], r["g_x"], r["t"], r["b"], r["k"], r["_rescued"] and json.loads(r["_rescued"])) for r in replay(ingest(df, "payload", target), approved).collect()}
+    assert got == {0: (7.5, ["A", "B"], "4", True, None, None), 1: (None, ['{"c":1}'], '["q"]', None, None, {"k": "x", "b": 3}), 2: (None, ["A"], None, None, 2.0, {"g.y": ["B"]})}
+
+
+def test_table_leaves_little_rescued(spark):
+    rows = p3_table(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == table(spark, "/root/testdata/sf0.01", "raw_lines").count()
+    left = [r for r in rows if r["_rescued"] and not r["_rescued"].startswith('{"_malformed"')]
+    assert len(left) < 0.05 * len(rows)
+    given = {r["line_id"]: parse_object(r["payload"]) for r in table(spark, "/root/testdata/sf0.01", "raw_lines").collect()}
+    for r in rows:
+        o = given[r["line_id"]] or {}
+        if "num_mentions" in o:
+            assert r["num_mentions"] == (None if o["num_mentions"] is None else float(o["num_mentions"]))
+        external = (o.get("country_groups") or {}).get("external")
+        if isinstance(external, list) and all(isinstance(x, str) for x in external):
+            assert r["country_groups_external"] == external
