@@ -67,6 +67,10 @@ CASCADE: list[tuple[str, str, str]] = [
 ]
 
 
+#: The commonest form, tried before all others: ISO-8601 with seconds and an offset reads as an instant without a field list.
+DIRECT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-](?:0\d|1[0-4]):[0-5]\d)$"
+
+
 def known_zones(spark: SparkSession | None = None) -> list[str]:
     """IANA names the executors' JVM understands (asked from the driver's JVM; its own table where there is none)."""
     spark = spark or SparkSession.getActiveSession()
@@ -81,17 +85,18 @@ def known_zones(spark: SparkSession | None = None) -> list[str]:
 def with_utc_micros(df: DataFrame, out: str, text: Column | str, default_zone: Column | str = "UTC", date_order: Column | str = "DMY", zones: list[str] | None = None) -> DataFrame:
     """``df`` with ``out``: microseconds since 1970-01-01 UTC of ``text``, null where it denotes no instant (see the module's policy).
 
-    ``default_zone`` and ``date_order`` are columns or plain values. The work is split into three projections: each reads
+    ``default_zone`` and ``date_order`` are columns or plain values. The work is split into projections: each reads
     the one before several times, so the optimizer keeps them apart and every regular expression runs once.
     """
     zones = zones if zones is not None else known_zones(df.sparkSession)
     col = lambda x: x if isinstance(x, Column) else F.lit(x)
     text = F.col(text) if isinstance(text, str) else text
-    names = [fresh_name(df, f"_{n}") for n in ("text", "fields", "part", "local", "zone")]
-    s, fields, part, local, zone = map(F.col, names)
+    names = [fresh_name(df, f"_{n}") for n in ("text", "fields", "part", "local", "zone", "direct")]
+    s, fields, part, local, zone, direct = map(F.col, names)
     before = list(df.columns)
 
     df = df.withColumn(names[0], blank_trim(text))
+    df = df.withColumn(names[5], F.when(s.rlike(DIRECT), s.try_cast("timestamp")))
     month_first = F.coalesce(F.upper(F.trim(col(date_order))) == "MDY", F.lit(False))
     canonical = F.lit(None).cast("string")
     low = F.lower(s)
@@ -101,7 +106,7 @@ def with_utc_micros(df: DataFrame, out: str, text: Column | str, default_zone: C
         if kind == "slashed_mdy":
             hit = hit & month_first
         canonical = F.when(hit, F.regexp_replace(low, whole, to)).otherwise(canonical)
-    df = df.withColumn(names[1], canonical)
+    df = df.withColumn(names[1], F.when(direct.isNull(), canonical))
     df = df.withColumn(names[2], F.split(fields, r"\|", -1))
 
     def number(i: int) -> Column:
@@ -131,8 +136,8 @@ def with_utc_micros(df: DataFrame, out: str, text: Column | str, default_zone: C
     df = df.withColumn(names[2], F.struct(offset.cast("long").alias("offset"), local_zone.alias("zone")))
 
     digits = F.length(s)
-    epoch = F.when(s.rlike(r"^\d+$") & digits.isin(10, 13, 16), s.try_cast("long") * F.when(digits == 10, 1_000_000).when(digits == 13, 1_000).otherwise(1))
+    epoch = F.when(digits.isin(10, 13, 16) & s.rlike(r"^\d+$"), s.try_cast("long") * F.when(digits == 10, 1_000_000).when(digits == 13, 1_000).otherwise(1))
     at = F.when(part["offset"].isNotNull(), F.unix_micros(local["at"]) - part["offset"] * 60_000_000).when(
         part["zone"].isNotNull(), F.unix_micros(F.to_utc_timestamp(local["at"], F.coalesce(part["zone"], F.lit("UTC"))))
     )
-    return df.select(*[F.col(f"`{c}`") for c in before], F.coalesce(epoch, at + local["micros"]).alias(out))
+    return df.select(*[F.col(f"`{c}`") for c in before], F.coalesce(F.unix_micros(direct), epoch, at + local["micros"]).alias(out))

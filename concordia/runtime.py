@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a local one only where none is set (tests)."""
+    """Use the shared folder the session names in ``spark.checkpoint.dir``. Only a single-machine session (tests) may do without: it gets a temporary one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="concordia-checkpoint-"))
+        if not shared:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            shared = tempfile.mkdtemp(prefix="concordia-checkpoint-")
+        sc.setCheckpointDir(shared)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -44,11 +49,10 @@ def settled(c):
     return F.when(F.monotonically_increasing_id() >= 0, c)
 
 
-def blank_trim(c):
-    """``c`` without Unicode white space at either end."""
-    return F.regexp_replace(c, r"(?U)^[\s​﻿]+|[\s​﻿]+$", "")
+#: White space of Unicode, the zero-width blank and the byte-order mark.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200C))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
-def parallel_slots(spark: SparkSession) -> int:
-    """Tasks that can run at once, as far as the session tells."""
-    return max(1, spark.sparkContext.defaultParallelism)
+def blank_trim(c):
+    """``c`` without Unicode white space at either end; looks at the ends only."""
+    return F.btrim(c, F.lit(BLANKS))
