@@ -5,8 +5,9 @@ proportional fitting) to the source shares wanted and to the corpus's own
 language and topic marginals; a cell's factor is the expected number of copies
 of each of its documents and never exceeds its source's cap. Documents are then
 drawn with these expectations: whole copies are sure, the fraction is drawn
-systematically along documents ordered by size, from the one of several starting
-points that comes nearest to the tokens asked for.
+systematically along documents ordered by cell and size, so that every cell gets
+its expectation to within a copy, from the one of several starting points that
+comes nearest to the tokens asked for.
 
 Scale: the raking sees the cell totals only, whose number is bounded by targets x
 known languages x topics, whatever the documents. Documents of a source are drawn
@@ -15,6 +16,8 @@ in strata of about ``stratum`` documents, so no window holds a whole source.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,8 +92,11 @@ def _targets(targets: DataFrame) -> dict[str, tuple[float, int]]:
     return {r["source"]: (r["share"], r["cap"]) for r in merged.collect()}
 
 
-def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, stratum: int = 50_000) -> tuple[DataFrame, DataFrame]:
-    """(documents drawn: ``doc_id``, ``source``, ``n_tokens``, ``copies``; report by source).
+def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, stratum: int = 50_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents drawn: ``doc_id``, ``source``, ``lang``, ``topic``, ``n_tokens``, ``copies``; report by source; report of the three marginals).
+
+    The marginals: ``axis`` (source, lang, topic), ``value``, ``wanted_share`` (of a source as asked for, of a language or topic as in the documents
+    of the present sources), ``raked_share`` (what the caps and the other axes let the raking reach) and ``drawn_share``.
 
     Without ``total_tokens`` the mix is the largest in which every present source reaches its share within its cap. With more, capped sources stay
     below their share and the report says so. Documents without tokens, without a source or of a source not asked for are not drawn. Sources asked for
@@ -114,9 +120,9 @@ def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, s
 
     drawn = in_mix.join(known, ["source", "lang", "topic"]).join(strata, "source")
     drawn = drawn.withColumn("stratum", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("strata")))
-    along = Window.partitionBy("source", "stratum").orderBy("n_tokens", F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    along = Window.partitionBy("source", "stratum").orderBy("lang", "topic", "n_tokens", F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     exact = F.col("factor").cast("decimal(20,12)")
-    drawn = cut(drawn.select("doc_id", "source", "stratum", "n_tokens", "factor", F.sum(exact).over(along).alias("upto")))
+    drawn = cut(drawn.select("doc_id", "source", "lang", "topic", "stratum", "n_tokens", "factor", F.sum(exact).over(along).alias("upto")))
 
     # of several starting points the one whose tokens come nearest to what the stratum should give
     def copies(k: int) -> F.Column:
@@ -127,7 +133,7 @@ def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, s
     nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("due")), F.lit(k).alias("k")) for k in range(STARTS)]))["k"]
     best = tried.select("source", "stratum", nearest.alias("k"))
     taken = F.element_at(F.array(*[copies(k) for k in range(STARTS)]), F.col("k") + 1)
-    chosen = drawn.join(best, ["source", "stratum"]).select("doc_id", "source", "n_tokens", taken.alias("copies")).where("copies > 0")
+    chosen = drawn.join(best, ["source", "stratum"]).select("doc_id", "source", "lang", "topic", "n_tokens", taken.alias("copies")).where("copies > 0")
 
     asked = spark.createDataFrame([(s, x, shares.get(s, 0.0), c) for s, (x, c) in sorted(goal.items())], "source string, target_share double, share_among_present double, max_repeats int")
     stock = usable.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"))
@@ -136,4 +142,20 @@ def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, s
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("documents", "tokens", "drawn_documents", "drawn_copies", "drawn_tokens", "most_copies")]
     report = report.select("source", "target_share", "share_among_present", "max_repeats", *zero)
     sum_drawn = F.sum("drawn_tokens").over(Window.partitionBy())  # one row per source
-    return chosen, report.withColumn("reached_share", F.coalesce(F.try_divide(F.col("drawn_tokens").cast("double"), sum_drawn), F.lit(0.0)))
+    report = report.withColumn("reached_share", F.coalesce(F.try_divide(F.col("drawn_tokens").cast("double"), sum_drawn), F.lit(0.0)))
+
+    rows = []
+    for k, axis in enumerate(("source", "lang", "topic")):
+        own, raked = Counter(), Counter()
+        for cell, f in zip(cells, factors):
+            own[cell[k]] += cell[3]
+            raked[cell[k]] += cell[3] * f
+        wanted = shares if axis == "source" else {v: t / max(1.0, own.total()) for v, t in own.items()}
+        rows += [(axis, v, wanted[v], raked[v] / max(1e-12, raked.total())) for v in sorted(own)]
+    axes = spark.createDataFrame(rows, "axis string, value string, wanted_share double, raked_share double")
+    spread = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("value")) for a in ("source", "lang", "topic")])).alias("s")
+    per_cell = chosen.groupBy("source", "lang", "topic").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("t"))
+    per = per_cell.select(spread, "t").groupBy("s.axis", "s.value").agg(F.sum("t").cast("double").alias("t"))
+    per = per.withColumn("drawn_share", F.col("t") / F.sum("t").over(Window.partitionBy("axis")))  # a row per value of an axis
+    marginals = axes.join(per.drop("t"), ["axis", "value"], "left").withColumn("drawn_share", F.coalesce("drawn_share", F.lit(0.0)))
+    return chosen, report, marginals

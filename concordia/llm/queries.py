@@ -71,13 +71,17 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sized_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.nullif(F.regexp_extract("dossier", r"\(([A-Z]{3})\)\s*$", 1), F.lit(""))
-    topic = F.when(kind.isin("COD", "CNS", "NLE", "INI", "BUD", "DEC", "RSP", "APP", "DEA", "IMM"), kind)
+    topic = F.nullif(F.regexp_extract("dossier", r"\(([A-Z]{3})\)\s*$", 1), F.lit(""))  # the kind of dossier: three letters, so a bounded number
     return mixing.sized(table(spark, sf_dir, "documents"), "doc_id", "text", "source", "lang", topic)
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_sized_documents(spark, sf_dir), table(spark, sf_dir, "mix_targets"))[0]
+    return mixing.mix(_sized_documents(spark, sf_dir), table(spark, sf_dir, "mix_targets"))[0].select("doc_id", "source", "n_tokens", "copies")
+
+
+def p9_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of sources, languages and topics: wanted, raked and drawn."""
+    return mixing.mix(_sized_documents(spark, sf_dir), table(spark, sf_dir, "mix_targets"))[2]
 
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +100,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_rows": p2_rows, "p2_segments": p2_segments,
-    "p6_found": p6_found, "p6_groups": p6_groups, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares,
+    "p6_found": p6_found, "p6_groups": p6_groups, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_marginals": p9_marginals,
     "p10_found": p10_found, "p10_sentences": p10_sentences,
 }
 

@@ -106,6 +106,21 @@ def test_encode_hard_texts(ours, theirs, text):
     assert ours(text) == theirs(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab 1\n\u3000\x1c.'s\t", max_size=30), max_size=6))
+def test_encode_many_texts_with_white_space(theirs, texts):
+    assert [list(memoryview(b).cast("i")) for b in bpe.encoder(bpe.default_vocabulary()).packed(texts)] == [theirs(t) for t in texts]
+
+
+def test_encoder_forgets_without_harm(theirs, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    own, rnd = bpe.PrefixEncoder(bpe.default_vocabulary()), random.Random(1)
+    for _ in range(30):
+        texts = [" ".join(str(rnd.randint(0, 99)) * rnd.choice([1, 1, 40]) for _ in range(12)), None, ""]
+        assert [list(memoryview(b).cast("i")) for b in own.packed(texts)] == [theirs(texts[0]), [], []]
+    assert len(own.known) < 60
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60) | st.text(alphabet="aeinorst THE'.,0123\n", max_size=120))
 def test_encode_any_text(ours, theirs, text):
@@ -226,7 +241,7 @@ def test_mix(spark):
     rows = [(i, "a" if i % 4 else "b", ["en", "de"][i % 2], "t", 10 + i % 37) for i in range(2000)] + [(9001, None, "en", "t", 5), (9002, "a", "en", "t", 0), (9003, "c", "en", "t", 5)]
     sizes = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long")
     targets = spark.createDataFrame([(" A ", 3.0, 1), ("B", 2.0, 4), ("gone", 1.0, 2), (None, 1.0, 1)], "source string, target_share double, max_repeats int")
-    chosen, report = mixing.mix(sizes, targets, stratum=300)
+    chosen, report, _ = mixing.mix(sizes, targets, stratum=300)
     got = {r["source"]: r for r in report.collect()}
     assert abs(got["a"]["reached_share"] - 0.6) < 0.005 and abs(got["b"]["reached_share"] - 0.4) < 0.005 and got["gone"]["drawn_tokens"] == 0 and got["c"]["target_share"] is None
     copies = {r["doc_id"]: (r["source"], r["copies"]) for r in chosen.collect()}
@@ -240,6 +255,24 @@ def test_mix_of_documents(spark):
     assert all(abs(r["reached_share"] - r["share_among_present"]) < 0.03 and r["most_copies"] <= r["max_repeats"] for r in report)
 
 
+def test_marginals_of_documents_hold(spark):
+    """The raking reaches the wanted shares where the caps allow, and the draw keeps within a hundredth of it on every axis."""
+    rows = queries.p9_marginals(spark, "/root/testdata/sf0.1").collect()
+    assert {r["axis"] for r in rows} == {"source", "lang", "topic"} and {r["value"] for r in rows if r["axis"] == "topic"} >= {"COD", "BUD", "INI", "NLE", "none"}
+    assert all(abs(r["drawn_share"] - r["raked_share"]) < 0.01 and abs(r["wanted_share"] - r["raked_share"]) < 0.01 for r in rows)
+
+
+@pytest.mark.parametrize("stratum", [40, 700, 10_000])
+def test_shares_hold_whatever_the_strata(spark, stratum):
+    sizes = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), F.when(F.col("id") % 5 == 0, "en").otherwise("de").alias("lang"),
+                                     F.lit("t").alias("topic"), (10 + F.col("id") % 37).alias("n_tokens"))
+    targets = spark.createDataFrame([("a", 1.0, 2), ("b", 1.0, 1)], "source string, target_share double, max_repeats int")
+    chosen, report, marginals = mixing.mix(sizes, targets, stratum=stratum)
+    assert all(abs(r["reached_share"] - 0.5) < 0.01 for r in report.collect())
+    assert all(abs(r["drawn_share"] - r["wanted_share"]) < 0.02 for r in marginals.collect())
+    assert chosen.groupBy("doc_id").count().where("count > 1").count() == 0
+
+
 # sentences
 
 
