@@ -23,8 +23,10 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from operator import itemgetter
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,11 +41,18 @@ _MARK = regex.compile(
     rf"(?P<close>(?:[”’»›」』\)\]）］】〉》]|[\"'](?![\p{{L}}\d])|[“«](?=\s|$|[\p{{P}}&&[^“„「«]])|[   ]»(?![\p{{L}}\d]))*)",
     regex.V1,
 )
-_BLANK_LINE = regex.compile(r"(?:\r\n|[\n\r ])[^\S\n\r  ]*(?:\r\n|[\n\r ])\s*|\s* \s*")
+_LINE_END = r"(?:\r\n|\n|\r(?!\n)|\u2028)"
+_BLANK_LINE = regex.compile(rf"{_LINE_END}[^\S\n\r\u2028\u2029]*{_LINE_END}\s*|\s*\u2029\s*")
+#: Whether a text has a blank line at all; cheaper than looking for each.
+_BREAK = regex.compile(rf"{_LINE_END}[^\S\n\r\u2028\u2029]*{_LINE_END}|\u2029")
 _WORD = regex.compile(r"[\p{L}\p{M}][\p{L}\p{M}.]*|\d+")
 _NEXT = regex.compile(r"[\p{L}\p{M}]+")
-_THAI_BLANK = regex.compile(r"(?<=[^\s\d\p{Latin}])\s+(?=[^\s\d])")
-_CASED_FIRST = regex.compile(r"([\p{Lu}\p{Ll}])[\p{L}\p{M}]*")
+_THAI = regex.compile(r"\p{Thai}")
+_BLANKS_INSIDE = regex.compile(r"(?<=\S)\s+(?=\S)")
+_NO_WORD_THEN_THAI = regex.compile(r"\W\p{Thai}")
+_LATIN, _LETTER = regex.compile(r"\p{Latin}"), regex.compile(r"\p{L}")
+_TWO_LATIN_WORDS = regex.compile(r"[\p{Latin}\p{M}'’-]+[ \n]+[\p{Latin}\p{M}]")
+_EAST_ASIAN = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _CASED = regex.compile(r"[\p{Lu}\p{Ll}]")
 _OPENING = set("“„«‹「『‘\"'([（【¿¡《〈")
 _GOES_ON = set(",;:，、；：-–—‑")
@@ -70,6 +79,13 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
             at = m.end()
 
 
+def _whole(text: str) -> Iterator[tuple[int, int]]:
+    """As :func:`blocks`, of a text without a blank line."""
+    end = len(text.rstrip())
+    if end:
+        yield len(text) - len(text.lstrip()), end
+
+
 def _word_before(text: str, a: int, end: int) -> str:
     """The figure, or the word with its inner periods, that ends at ``end`` and begins at ``a`` or later; "" if there is none."""
     at = end
@@ -84,59 +100,127 @@ def _word_before(text: str, a: int, end: int) -> str:
 
 def is_lower(text: str) -> bool:
     """Whether a text is written without capitals: hardly a word of cased letters begins with one (stray tokens may)."""
-    first = Counter(map(str.isupper, _CASED_FIRST.findall(text)))
-    return bool(first) and first[True] <= 0.03 * first.total()
+    upper = lower = 0
+    for c, n in Counter(map(_FIRST, text.split())).items():
+        if _CASED.match(c):
+            if c.isupper():
+                upper += n
+            else:
+                lower += n
+    return upper + lower > 0 and upper <= 0.03 * (upper + lower)
+
 
+_FIRST = itemgetter(0)
+#: Columns of the counts. p, w: followed by a period or not; e: with its period at the end of a paragraph; c: with its period, then a small letter or a figure;
+#: s: starts a paragraph or follows a long word with a period; b: pair around a period; qs, qc: capital or small after a closed quotation that ends in ! or ?.
+KINDS = ["p", "w", "e", "c", "s", "b", "qs", "qc"]
+_P, _W, _E, _C, _S, _B, _QS, _QC = range(len(KINDS))
+_QUOTED_END = regex.compile(r"[!?]+[”’»“]$")
+_AFTER_QUOTE = regex.compile(r"[\p{Lu}\p{Ll}][\p{L}\p{M}]*")
+
+
+def _token_words(token: str) -> tuple[list[tuple[str, bool]], str | None]:
+    """(word, whether a period follows it) of each word of a stretch between blanks; and the word whose period ends the stretch as far as words go (closing marks may follow)."""
+    words, last = [], None
+    for m in _WORD.finditer(token):
+        word = m.group()
+        if word[0].isdigit():
+            continue
+        word, after = _nfc(word), token[m.end() : m.end() + 1]
+        dotted = word[-1] == "." and word[-2:] != ".." and (not after or after in ",;:)”’»“\"'!?")
+        body = word.rstrip(".") if word[-1] == "." else word
+        words.append((body, dotted))
+        last = body if dotted and m.end() == len(token) else None
+    return words, last
 
-def word_counts(text: str) -> Counter:
-    """(kind, word, word after or "") -> n. Words keep their case; starters and words after are in lower case.
 
-    p/w: followed by a period or not; e: with its period at the end of a paragraph; c: with its period, then a small letter or a figure;
-    s: starts a paragraph or follows a long word with a mark; b: pair around a period; qs, qc: capital or small after a closed quotation that
-    ends in ! or ?.
+#: Entries that a task's counts hold before they are handed on; bounds its memory, not what is counted.
+MOST_COUNTS = 1_000_000
+
+
+class Counts:
+    """Counts of words by language, summed up over many texts: (language, word, word after or "") -> a number per kind. Words keep their case; starters and words after are in lower case.
+
+    What stands between two blanks is looked at once, however often it occurs; only at periods and paragraph ends the neighbour counts as well.
     """
-    out: Counter = Counter()
-    plain: list[str] = []
-    lower = is_lower(text)
-    for a, b in blocks(text):
-        block = text[a:b]
-        first = _NEXT.match(block)
-        if first and not lower:
-            out["s", _nfc(first.group()).lower(), ""] += 1
-        for m in _WORD.finditer(block):
-            end = m.end()
-            word = m.group()
-            if word[0].isdigit():
+
+    def __init__(self) -> None:
+        self.sums: dict[tuple[str, str, str], list[int]] = {}
+        self._tokens: dict[str, Counter] = {}
+        self._ends: dict[str, str | None] = {}
+        self._starts: dict[str, tuple[str, str, str]] = {}
+
+    def _row(self, lang: str, word: str, after: str = "") -> list[int]:
+        row = self.sums.get((lang, word, after))
+        if row is None:
+            row = self.sums[lang, word, after] = [0] * len(KINDS)
+        return row
+
+    def _end(self, token: str) -> str | None:
+        """The word whose period ends a stretch; "?" if a quotation closed after ! or ? does; else None."""
+        if token not in self._ends:
+            self._ends[token] = _token_words(token)[1] if token[-1] == "." else "?" if _QUOTED_END.search(token) else None
+        return self._ends[token]
+
+    def _start(self, token: str) -> tuple[str, str, str]:
+        """The word a stretch starts with, in lower case; how its first character counts (l: small letter or figure, u: capital); and the word after a quotation."""
+        found = self._starts.get(token)
+        if found is None:
+            word, first, cased = _NEXT.match(token), token[0], _AFTER_QUOTE.match(token)
+            kind = "l" if first.islower() or first.isdigit() else "u" if first.isupper() else ""
+            found = self._starts[token] = (_nfc(word.group()).lower() if word else "", kind, ("C" if first.isupper() else "c") + _nfc(cased.group()).lower() if cased else "")
+        return found
+
+    def add(self, lang: str, text: str) -> None:
+        tokens = self._tokens.setdefault(lang, Counter())
+        lower = is_lower(text)
+        for block in _paragraphs(text):
+            words = block.split()
+            if not words:
                 continue
-            word = _nfc(word)
-            after = block[end : end + 1]
-            dotted = word[-1] == "." and word[-2:] != ".." and (not after or after.isspace() or after in ",;:)”’»“\"'!?")
-            body = word.rstrip(".") if word[-1] == "." else word
-            if not dotted:
-                plain.append(body)
+            tokens.update(words)
+            if lower:
                 continue
-            out["p", body, ""] += 1
-            if not lower:
-                n = end
-                while n < len(block) and block[n].isspace():
-                    n += 1
-                if n == len(block):
-                    out["e", body, ""] += 1
+            if first := self._start(words[0])[0]:
+                self._row(lang, first)[_S] += 1
+            for k in [k for k, w in enumerate(words) if w[-1] in ".”’»“"]:
+                body = self._end(words[k])
+                if body is None:
+                    continue
+                after, kind, quoted = self._start(words[k + 1]) if k + 1 < len(words) else ("", "", "")
+                if body == "?":
+                    if quoted:
+                        self._row(lang, quoted[1:])[_QS if quoted[0] == "C" else _QC] += 1
+                    continue
+                if k + 1 == len(words):
+                    self._row(lang, body)[_E] += 1
                     continue
-                follows = _NEXT.match(block, n)
-                after = _nfc(follows.group()).lower() if follows else ""
                 if after:
-                    out["b", body, after] += 1
-                if block[n].islower() or block[n].isdigit():
-                    out["c", body, ""] += 1
-                elif after and len(body) >= 5 and "." not in body and block[n].isupper():
-                    out["s", after, ""] += 1
-        if not lower:
-            for m in regex.finditer(r"[!?]+[”’»“]\s+([\p{Lu}\p{Ll}][\p{L}\p{M}]*)", block):
-                out["qs" if m.group(1)[0].isupper() else "qc", _nfc(m.group(1)).lower(), ""] += 1
-    for word, n in Counter(plain).items():
-        out["w", word, ""] = n
-    return out
+                    self._row(lang, body, after)[_B] += 1
+                if kind == "l":
+                    self._row(lang, body)[_C] += 1
+                elif kind == "u" and after and len(body) >= 5 and "." not in body:
+                    self._row(lang, after)[_S] += 1
+
+    def settle(self) -> dict[tuple[str, str, str], list[int]]:
+        """The sums so far, which start afresh."""
+        for lang, tokens in self._tokens.items():
+            for token, n in tokens.items():
+                for body, dotted in _token_words(token)[0]:
+                    self._row(lang, body)[_P if dotted else _W] += n
+        out = self.sums
+        self.__init__()
+        return out
+
+    def size(self) -> int:
+        return len(self.sums) + len(self._ends) + len(self._starts) + sum(map(len, self._tokens.values()))
+
+
+def _paragraphs(text: str) -> list[str]:
+    """The text between blank lines."""
+    if _BREAK.search(text) is None:
+        return [text]
+    return [text[a:b] for a, b in blocks(text)]
 
 
 @dataclass
@@ -225,21 +309,26 @@ def learn(documents: DataFrame, text: Column, label: Column, least_count: int =
     Pairs are judged among all words around periods, so a word that merely often starts sentences makes none. Pairs after figures and initials need not be known: these end a sentence only before a starter.
     """
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            sums: Counter = Counter()
-            for lang, t in frame.itertuples(index=False):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counts()
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            sums = counts.settle()
+            if sums:
+                keys, values = zip(*sums), np.array(list(sums.values()), np.int64)
+                yield pa.RecordBatch.from_arrays([*[pa.array(k, pa.string()) for k in keys], *[pa.array(np.ascontiguousarray(v)) for v in values.T]], names=["lang", "word", "after", *KINDS])
+
+        for batch in batches:
+            for lang, t in zip(batch.column("lang").to_pylist(), batch.column("t").to_pylist()):
                 if t:
-                    for key, n in word_counts(t).items():
-                        sums[lang, *key] += n
-            if not sums:
-                continue
-            keys = list(zip(*sums))
-            yield pd.DataFrame({"lang": keys[0], "kind": keys[1], "word": keys[2], "after": keys[3], "n": list(sums.values())})
+                    counts.add(lang, t)
+                    if counts.size() > MOST_COUNTS:
+                        yield from rows()
+        yield from rows()
 
     texts = documents.select(F.coalesce(label_language(label), F.lit("und")).alias("lang"), text.alias("t"))
-    counted = texts.mapInPandas(count, "lang string, kind string, word string, after string, n bigint").groupBy("lang", "word", "after")
-    raw = counted.pivot("kind", ["p", "w", "e", "c", "s", "b", "qs", "qc"]).agg(F.sum("n")).na.fill(0).persist()
+    counted = texts.mapInArrow(count, "lang string, word string, after string, " + ", ".join(f"{k} bigint" for k in KINDS))
+    raw = counted.groupBy("lang", "word", "after").agg(*[F.sum(k).alias(k) for k in KINDS]).persist()
     try:
         totals = {r["lang"]: (r["p"], r["w"], r["s"]) for r in raw.groupBy("lang").agg(*[F.sum(k).alias(k) for k in "pws"]).collect()}
         if not totals:
@@ -312,7 +401,7 @@ def sentence_spans(text: str | None, lang: str, model: Model) -> list[tuple[int,
     if not text:
         return spans
     lower = is_lower(text)
-    for a, b in blocks(text):
+    for a, b in blocks(text) if _BREAK.search(text) else _whole(text):
         cuts = sorted(set(_mark_cuts(text, a, b, lang, lower, model)) | set(_thai_cuts(text, a, b)))
         at = a
         for cut in [*cuts, b]:
@@ -329,18 +418,18 @@ def sentence_spans(text: str | None, lang: str, model: Model) -> list[tuple[int,
 
 def _thai_cuts(text: str, a: int, b: int) -> Iterator[int]:
     """In Thai a blank ends a sentence, unless it is next to a figure or a Latin-script name. Two Latin words in a row are no name but another language."""
-    if not regex.search(r"\p{Thai}", text[a:b]):
+    if _THAI.search(text, a, b) is None:
         return
-    for m in regex.finditer(r"(?<=\S)\s+(?=\S)", text[a:b]):
+    for m in _BLANKS_INSIDE.finditer(text[a:b]):
         s, e = a + m.start(), a + m.end()
         left, right = text[s - 1], text[e]
-        thai_left, thai_right = bool(regex.match(r"[\p{Thai}]", left)), bool(regex.match(r"[\p{Thai}]", right))
-        if thai_left and (thai_right or right in _OPENING and regex.match(r"\W\p{Thai}", text[e : e + 2])):
+        thai_left, thai_right = bool(_THAI.match(left)), bool(_THAI.match(right))
+        if thai_left and (thai_right or right in _OPENING and _NO_WORD_THEN_THAI.match(text, e, e + 2)):
             yield s
-        elif thai_left and regex.match(r"\p{Latin}", right):
-            if regex.match(r"[\p{Latin}\p{M}'’-]+[ \n]+[\p{Latin}\p{M}]", text[e:b]):
+        elif thai_left and _LATIN.match(right):
+            if _TWO_LATIN_WORDS.match(text, e, b):
                 yield s
-        elif thai_left and regex.match(r"\p{L}", right):
+        elif thai_left and _LETTER.match(right):
             yield s
 
 
@@ -365,7 +454,7 @@ def _ends(text: str, a: int, b: int, start: int, mark: str, close: str, end: int
     follows = _NEXT.match(text, n, b)
     word = _nfc(follows.group()).lower() if follows else ""
     starter = model.starts(word, lang)
-    strong = mark[-1] in STRONG or mark[0] in STRONG or set(mark) == {"…"} and bool(regex.match(r"[\p{Han}\p{Hiragana}\p{Katakana}]", text[start - 1 : start]))
+    strong = mark[-1] in STRONG or mark[0] in STRONG or mark[0] == "…" and set(mark) == {"…"} and bool(_EAST_ASIAN.match(text[start - 1 : start]))
     quoted = bool(close.strip(" )]）】   "))
     if nxt in _GOES_ON and not (nxt in "-–—" and not quoted and spaced and mark[-1] not in "."):
         return False
@@ -445,12 +534,17 @@ def split_documents(documents: DataFrame, doc_id: str, text: str, label: str, mo
     shared = documents.sparkSession.sparkContext.broadcast(model)
     narrow = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(label_language(F.col(label)), F.lit("und")).alias("lang"), F.col(text).alias("t"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for frame in frames:
-            for at in range(0, len(frame), 2000):
-                out = [(i, k, s, e) for i, lang, t in frame.iloc[at : at + 2000].itertuples(index=False) for k, (s, e) in enumerate(sentence_spans(t, lang, model))]
-                if out:
-                    yield pd.DataFrame(out, columns=["doc_id", "sent_no", "sent_start", "sent_end"])
-
-    return narrow.mapInPandas(run, "doc_id bigint, sent_no int, sent_start bigint, sent_end bigint")
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                found = [sentence_spans(t, lang, model) for lang, t in zip(part.column("lang").to_pylist(), part.column("t").to_pylist())]
+                sizes = np.fromiter(map(len, found), np.int64, len(found))
+                flat = np.array([x for spans in found for x in spans], np.int64).reshape(-1, 2)
+                ids = np.repeat(part.column("doc_id").to_numpy(zero_copy_only=False), sizes)
+                number = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                columns = [pa.array(ids), pa.array(number.astype(np.int32)), pa.array(np.ascontiguousarray(flat[:, 0])), pa.array(np.ascontiguousarray(flat[:, 1]))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "sent_no", "sent_start", "sent_end"])
+
+    return narrow.mapInArrow(run, "doc_id bigint, sent_no int, sent_start bigint, sent_end bigint")

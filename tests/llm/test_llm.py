@@ -325,6 +325,69 @@ def test_sentences_cover_all_but_blanks(text):
     assert not text[at:].strip()
 
 
+def _plain_counts(lang, text):
+    """What :class:`sentences.Counts` counts, word by word."""
+    out, lower = {}, sentences.is_lower(text)
+
+    def count(kind, word, after=""):
+        out.setdefault((lang, word, after), [0] * len(sentences.KINDS))[sentences.KINDS.index(kind)] += 1
+
+    for a, b in sentences.blocks(text):
+        block = text[a:b]
+        if not lower and (first := sentences._NEXT.match(block)):
+            count("s", first.group().lower())
+        for m in sentences._WORD.finditer(block):
+            word, end = m.group(), m.end()
+            if word[0].isdigit():
+                continue
+            dotted = word[-1] == "." and word[-2:] != ".." and (end == len(block) or block[end].isspace() or block[end] in ",;:)”’»“\"'!?")
+            body = word.rstrip(".")
+            count("p" if dotted else "w", body)
+            if not dotted or lower or end < len(block) and not block[end].isspace():
+                continue
+            rest = block[end:].lstrip()
+            if not rest:
+                count("e", body)
+                continue
+            after = m.group().lower() if (m := sentences._NEXT.match(rest)) else ""
+            if after:
+                count("b", body, after)
+            if rest[0].islower() or rest[0].isdigit():
+                count("c", body)
+            elif after and len(body) >= 5 and "." not in body and rest[0].isupper():
+                count("s", after)
+        if not lower:
+            for m in sentences.regex.finditer(r"[!?]+[”’»“]\s+([\p{Lu}\p{Ll}][\p{L}\p{M}]*)", block):
+                count("qs" if m.group(1)[0].isupper() else "qc", m.group(1).lower())
+    return out
+
+
+COUNTED = [
+    "Dr. Lum met Mr. K. in Town. The end.\n\nHe left, etc. “Why?” asked a clerk. “No!” Then it rained... 12. May",
+    "Lines\r\nbroken. And\rone\n \nmore e.g. this (see p. 3). End.” Next",
+    "all lower. no capitals here. at all", "", "  ", "...", "A\u2029B. c",
+]
+
+
+@pytest.mark.parametrize("text", COUNTED)
+def test_counts_by_hand(text):
+    counts = sentences.Counts()
+    counts.add("xx", text)
+    assert counts.settle() == _plain_counts("xx", text) and counts.size() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aBc .!?”“\n\r9,(", max_size=50))
+def test_counts_of_any_text(text):
+    counts = sentences.Counts()
+    counts.add("xx", text)
+    assert counts.settle() == _plain_counts("xx", text)
+
+
+def test_single_line_break_of_any_kind_ends_nothing():
+    assert [len(list(sentences.blocks(f"a{x}b"))) for x in ("\n", "\r", "\r\n", "\n\n", "\r\n\r\n", "\r\r", "\n \n", "\u2029")] == [1, 1, 1, 2, 2, 2, 2, 2]
+
+
 def test_learned_from_documents(spark):
     documents = table(spark, "/root/testdata/sf0.01", "documents")
     m = sentences.learn(documents, F.col("text"), F.col("lang"))
