@@ -11,7 +11,7 @@ and what reaches T stays. A pair is reported in the cell of its first common
 word only.
 
 Scale: rare and frequent are told apart by a sketch of fixed size, a count for
-each of 2^20 buckets of words; a bucket met once is a list of one record and
+each of 2^22 buckets of words; a bucket met once is a list of one record and
 leaves before anything is shuffled. Any order finds the same pairs; the better
 it puts rare words first, the shorter the lists. A list longer than ``block`` is
 cut into blocks and searched block pair by block pair, so a task's memory is
@@ -23,7 +23,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 from heapq import merge
-from itertools import groupby
+from itertools import combinations, groupby
 from math import log
 
 import numpy as np
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from concordia.runtime import cut, settled
 
 #: Buckets of the sketch of word frequencies, as a power of two.
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 #: Bits of a word's code that hold its hash; above them stands its frequency class.
 _HASH_BITS = 57
 
@@ -106,13 +106,15 @@ def _merged(lists: list[list[int]]) -> Iterator[tuple[int, int]]:
 def _search(cell: int, own: list[tuple[int, int, list[int]]], i: int, j: int, percent: int) -> Iterator[tuple[int, int]]:
     """DivideSkip within one cell: pairs (rep, rep) whose first common word is ``cell``. own: (rep, block, sorted codes)."""
     own.sort(key=lambda r: len(r[2]))
+    at = [bisect_left(codes, cell) for _, _, codes in own]
+    heads = [set(codes[:n]) for n, (_, _, codes) in zip(at, own)]
+    if len(own) <= 8 and not any(a.isdisjoint(b) for a, b in combinations(heads, 2)):
+        return  # all of them meet in an earlier cell
     lists: dict[int, list[int]] = {}
-    heads: list[list[int]] = []
     for k, (rep, block, codes) in enumerate(own):
-        n, at = len(codes), bisect_left(codes, cell)
+        n = len(codes)
         least = need(n, percent)
-        words = codes[at + 1 :]  # before the cell's word nothing may be common
-        heads.append(codes[:at])
+        words = codes[at[k] + 1 :]  # before the cell's word nothing may be common
         held = sorted((lists[w] for w in words if w in lists), key=len)
         # T counts the cell's own word, which all share
         target = least - 1
@@ -120,7 +122,6 @@ def _search(cell: int, own: list[tuple[int, int, list[int]]], i: int, j: int, pe
             longest = len(held[-1]) if held else 1
             n_long = min(max(0, target - 1), int(target / (0.01 * log(max(2, longest)) + 1)), max(0, len(held) - 1)) if longest > 8 else 0
             short, long_ = held[: len(held) - n_long], held[len(held) - n_long :]
-            head = None
             for m, count in _merged(short) if target > 0 else ((m, 0) for m in range(k)):
                 other_rep, other_block, other = own[m]
                 if count + n_long < target or len(other) < least or (i != j and block == other_block):
@@ -131,8 +132,7 @@ def _search(cell: int, own: list[tuple[int, int, list[int]]], i: int, j: int, pe
                 # overlap / union >= t, in whole numbers; nothing common before the cell's word
                 common = count + 1
                 if common * 100 >= percent * (n + len(other) - common):
-                    head = head or set(heads[k])
-                    if head.isdisjoint(heads[m]):
+                    if heads[k].isdisjoint(heads[m]):
                         yield (other_rep, rep) if other_rep < rep else (rep, other_rep)
         for w in words:
             lists.setdefault(w, []).append(k)
