@@ -23,6 +23,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from operator import itemgetter
 
 import numpy as np
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordia.llm.langid import label_language
+from concordia.runtime import cut
 
 #: Marks that end a sentence by themselves, in the scripts that have them.
 STRONG = "。！？｡।॥؟۔።፧"
@@ -98,23 +100,34 @@ def _word_before(text: str, a: int, end: int) -> str:
     return text[at:end].lstrip(".")
 
 
-def is_lower(text: str) -> bool:
-    """Whether a text is written without capitals: hardly a word of cased letters begins with one (stray tokens may)."""
+class _Case(dict):
+    """Character -> 1 for a capital, -1 for a small letter, else 0."""
+
+    def __missing__(self, c: str) -> int:
+        found = self[c] = 0 if _CASED.match(c) is None else 1 if c.isupper() else -1
+        return found
+
+
+_CASE = _Case()
+
+
+def is_lower(words: list[str]) -> bool:
+    """Whether a text, given as its stretches between blanks, is written without capitals: hardly one of those that begin with a cased letter begins with a capital (stray tokens may)."""
     upper = lower = 0
-    for c, n in Counter(map(_FIRST, text.split())).items():
-        if _CASED.match(c):
-            if c.isupper():
-                upper += n
-            else:
-                lower += n
+    for c, n in Counter(map(_FIRST, words)).items():
+        if (case := _CASE[c]) > 0:
+            upper += n
+        elif case:
+            lower += n
     return upper + lower > 0 and upper <= 0.03 * (upper + lower)
 
 
 _FIRST = itemgetter(0)
 #: Columns of the counts. p, w: followed by a period or not; e: with its period at the end of a paragraph; c: with its period, then a small letter or a figure;
-#: s: starts a paragraph or follows a long word with a period; b: pair around a period; qs, qc: capital or small after a closed quotation that ends in ! or ?.
-KINDS = ["p", "w", "e", "c", "s", "b", "qs", "qc"]
-_P, _W, _E, _C, _S, _B, _QS, _QC = range(len(KINDS))
+#: n: with its period, then a word; b: this pair of words around a period. Of words in lower case: f: all uses; s: starts a paragraph or follows a long word with a period;
+#: a: follows any word with a period; qs, qc: capital or small after a closed quotation that ends in ! or ?. The row of the word "" holds a language's totals of f (as w), s and n.
+KINDS = ["p", "w", "e", "c", "n", "b", "f", "s", "a", "qs", "qc"]
+_P, _W, _E, _C, _N, _B, _F, _S, _A, _QS, _QC = range(len(KINDS))
 _QUOTED_END = regex.compile(r"[!?]+[”’»“]$")
 _AFTER_QUOTE = regex.compile(r"[\p{Lu}\p{Ll}][\p{L}\p{M}]*")
 
@@ -139,88 +152,104 @@ MOST_COUNTS = 1_000_000
 
 
 class Counts:
-    """Counts of words by language, summed up over many texts: (language, word, word after or "") -> a number per kind. Words keep their case; starters and words after are in lower case.
+    """Counts of words by language, summed up over many texts. Words keep their case; starters and words after are in lower case.
 
     What stands between two blanks is looked at once, however often it occurs; only at periods and paragraph ends the neighbour counts as well.
     """
 
     def __init__(self) -> None:
-        self.sums: dict[tuple[str, str, str], list[int]] = {}
         self._tokens: dict[str, Counter] = {}
+        self._words: dict[str, dict[str, list[int]]] = {}
+        self._pairs: dict[str, dict[tuple[str, str], int]] = {}
         self._ends: dict[str, str | None] = {}
         self._starts: dict[str, tuple[str, str, str]] = {}
 
-    def _row(self, lang: str, word: str, after: str = "") -> list[int]:
-        row = self.sums.get((lang, word, after))
-        if row is None:
-            row = self.sums[lang, word, after] = [0] * len(KINDS)
-        return row
-
     def _end(self, token: str) -> str | None:
         """The word whose period ends a stretch; "?" if a quotation closed after ! or ? does; else None."""
-        if token not in self._ends:
-            self._ends[token] = _token_words(token)[1] if token[-1] == "." else "?" if _QUOTED_END.search(token) else None
-        return self._ends[token]
+        found = self._ends[token] = _token_words(token)[1] if token[-1] == "." else "?" if _QUOTED_END.search(token) else None
+        return found
 
     def _start(self, token: str) -> tuple[str, str, str]:
         """The word a stretch starts with, in lower case; how its first character counts (l: small letter or figure, u: capital); and the word after a quotation."""
-        found = self._starts.get(token)
-        if found is None:
-            word, first, cased = _NEXT.match(token), token[0], _AFTER_QUOTE.match(token)
-            kind = "l" if first.islower() or first.isdigit() else "u" if first.isupper() else ""
-            found = self._starts[token] = (_nfc(word.group()).lower() if word else "", kind, ("C" if first.isupper() else "c") + _nfc(cased.group()).lower() if cased else "")
+        word, first, cased = _NEXT.match(token), token[0], _AFTER_QUOTE.match(token)
+        kind = "l" if first.islower() or first.isdigit() else "u" if first.isupper() else ""
+        found = self._starts[token] = (_nfc(word.group()).lower() if word else "", kind, ("C" if first.isupper() else "c") + _nfc(cased.group()).lower() if cased else "")
         return found
 
     def add(self, lang: str, text: str) -> None:
-        tokens = self._tokens.setdefault(lang, Counter())
-        lower = is_lower(text)
-        for block in _paragraphs(text):
-            words = block.split()
+        tokens = self._tokens.get(lang)
+        if tokens is None:
+            tokens, self._words[lang], self._pairs[lang] = self._tokens.setdefault(lang, Counter()), {"": [0] * len(KINDS)}, {}
+        rows, pairs, ends, starts = self._words[lang], self._pairs[lang], self._ends, self._starts
+        total = rows[""]
+
+        def row(word: str) -> list[int]:
+            found = rows.get(word)
+            if found is None:
+                found = rows[word] = [0] * len(KINDS)
+            return found
+
+        every = text.split()
+        tokens.update(every)
+        if is_lower(every):
+            return
+        for words in [every] if _BREAK.search(text) is None else [text[a:b].split() for a, b in blocks(text)]:
             if not words:
                 continue
-            tokens.update(words)
-            if lower:
-                continue
-            if first := self._start(words[0])[0]:
-                self._row(lang, first)[_S] += 1
+            if first := (starts.get(words[0]) or self._start(words[0]))[0]:
+                row(first)[_S] += 1
+                total[_S] += 1
             for k in [k for k, w in enumerate(words) if w[-1] in ".”’»“"]:
-                body = self._end(words[k])
+                token = words[k]
+                body = ends[token] if token in ends else self._end(token)
                 if body is None:
                     continue
-                after, kind, quoted = self._start(words[k + 1]) if k + 1 < len(words) else ("", "", "")
+                after, kind, quoted = (starts.get(words[k + 1]) or self._start(words[k + 1])) if k + 1 < len(words) else ("", "", "")
                 if body == "?":
                     if quoted:
-                        self._row(lang, quoted[1:])[_QS if quoted[0] == "C" else _QC] += 1
+                        row(quoted[1:])[_QS if quoted[0] == "C" else _QC] += 1
                     continue
+                mine = row(body)
                 if k + 1 == len(words):
-                    self._row(lang, body)[_E] += 1
+                    mine[_E] += 1
                     continue
                 if after:
-                    self._row(lang, body, after)[_B] += 1
+                    mine[_N] += 1
+                    total[_N] += 1
+                    pairs[body, after] = pairs.get((body, after), 0) + 1
+                    row(after)[_A] += 1
                 if kind == "l":
-                    self._row(lang, body)[_C] += 1
+                    mine[_C] += 1
                 elif kind == "u" and after and len(body) >= 5 and "." not in body:
-                    self._row(lang, after)[_S] += 1
+                    row(after)[_S] += 1
+                    total[_S] += 1
 
-    def settle(self) -> dict[tuple[str, str, str], list[int]]:
-        """The sums so far, which start afresh."""
+    def settle(self) -> list[tuple[str, list[str], list[str], np.ndarray]]:
+        """(language, words, words after or "", a column per kind) of the sums so far, which start afresh."""
+        out = []
         for lang, tokens in self._tokens.items():
+            rows = self._words[lang]
+            plain, folded, dotted = {}, {}, {}
             for token, n in tokens.items():
-                for body, dotted in _token_words(token)[0]:
-                    self._row(lang, body)[_P if dotted else _W] += n
-        out = self.sums
+                for body, by in [(_nfc(token), False)] if token.isalpha() else _token_words(token)[0]:
+                    counts = dotted if by else plain
+                    counts[body] = counts.get(body, 0) + n
+                    low = body.lower()
+                    folded[low] = folded.get(low, 0) + n
+            rows[""][_P], rows[""][_W] = sum(dotted.values()), sum(plain.values())
+            words = list(dict.fromkeys(chain(rows, plain, folded, dotted)))
+            none = [0] * len(KINDS)
+            sums = np.array([rows.get(w, none) for w in words], np.int64).reshape(-1, len(KINDS))
+            for kind, counts in ((_P, dotted), (_W, plain), (_F, folded)):
+                sums[1:, kind] = [counts.get(w, 0) for w in words[1:]]
+            pairs = np.zeros((len(self._pairs[lang]), len(KINDS)), np.int64)
+            pairs[:, _B] = list(self._pairs[lang].values())
+            out.append((lang, words + [a for a, _ in self._pairs[lang]], [""] * len(words) + [b for _, b in self._pairs[lang]], np.concatenate([sums, pairs])))
         self.__init__()
         return out
 
     def size(self) -> int:
-        return len(self.sums) + len(self._ends) + len(self._starts) + sum(map(len, self._tokens.values()))
-
-
-def _paragraphs(text: str) -> list[str]:
-    """The text between blank lines."""
-    if _BREAK.search(text) is None:
-        return [text]
-    return [text[a:b] for a, b in blocks(text)]
+        return len(self._ends) + len(self._starts) + sum(map(len, chain(self._tokens.values(), self._words.values(), self._pairs.values())))
 
 
 @dataclass
@@ -313,10 +342,9 @@ def learn(documents: DataFrame, text: Column, label: Column, least_count: int =
         counts = Counts()
 
         def rows() -> Iterator[pa.RecordBatch]:
-            sums = counts.settle()
-            if sums:
-                keys, values = zip(*sums), np.array(list(sums.values()), np.int64)
-                yield pa.RecordBatch.from_arrays([*[pa.array(k, pa.string()) for k in keys], *[pa.array(np.ascontiguousarray(v)) for v in values.T]], names=["lang", "word", "after", *KINDS])
+            for lang, words, after, sums in counts.settle():
+                columns = [pa.array([lang] * len(words)), pa.array(words, pa.string()), pa.array(after, pa.string()), *[pa.array(np.ascontiguousarray(v)) for v in sums.T]]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "after", *KINDS])
 
         for batch in batches:
             for lang, t in zip(batch.column("lang").to_pylist(), batch.column("t").to_pylist()):
@@ -328,43 +356,40 @@ def learn(documents: DataFrame, text: Column, label: Column, least_count: int =
 
     texts = documents.select(F.coalesce(label_language(label), F.lit("und")).alias("lang"), text.alias("t"))
     counted = texts.mapInArrow(count, "lang string, word string, after string, " + ", ".join(f"{k} bigint" for k in KINDS))
-    raw = counted.groupBy("lang", "word", "after").agg(*[F.sum(k).alias(k) for k in KINDS]).persist()
+    raw = counted.groupBy("lang", "word", "after").agg(*[F.sum(k).alias(k) for k in KINDS])
+    # a word seen once, or less than least_count times beside a period, can be judged nothing below: the ratio of one use is at most twice the logarithm of its odds
+    raw = raw.where(" OR ".join(["word = ''", "f >= 2", "qc + qs >= 1", *[f"{k} >= {int(least_count)}" for k in "psab"]])).persist()
     try:
-        totals = {r["lang"]: (r["p"], r["w"], r["s"]) for r in raw.groupBy("lang").agg(*[F.sum(k).alias(k) for k in "pws"]).collect()}
+        totals = raw.where("word = '' AND after = ''").select("lang", F.col("p").alias("all_p"), (F.col("p") + F.col("w")).alias("all_f"), F.col("s").alias("all_s"), F.col("n").alias("all_n")).where("all_f > 0").collect()
         if not totals:
             return Model()
-
-        def of_lang(f) -> Column:
-            return F.create_map(*[F.lit(x) for k, v in totals.items() for x in (k, float(f(*v)))])[F.col("lang")]
-
-        n_words, n_starts = of_lang(lambda p, w, s: p + w), of_lang(lambda p, w, s: s)
-        words = raw.where("after = ''")
+        per_language = F.broadcast(documents.sparkSession.createDataFrame(totals))  # a row per known language
         # words that only ever end sentences are followed by capitals or nothing; short ones must show that they are abbreviations some other way
         ends_only = (F.col("c") == 0) & ~F.contains("word", F.lit(".")) & (F.length("word") > 4) & (F.col("w") > 0.02 * (F.col("p") + F.col("w")))
-        score = _abbreviation_score(of_lang(lambda p, w, s: p / max(1, p + w)))
-        closes = (F.col("e") >= closing_share * F.col("p")) & (F.col("e") >= 1)
-        dotted = words.where(F.col("p") >= least_count).select("lang", "word", ((score >= threshold) & ~ends_only).alias("is_one"), closes.alias("closes"), (F.col("p") + F.col("w")).alias("n"))
-        abbreviations = _judged(dotted, "is_one")
-
-        folded = words.groupBy("lang", F.lower("word").alias("word")).agg(*[F.sum(k).alias(k) for k in ("s", "qs", "qc")], F.sum(F.col("p") + F.col("w")).alias("n"))
-        ratio = association(n_starts, F.col("n"), F.col("s"), n_words)
-        known = folded.select("lang", "word", "n", ((F.col("s") >= least_count) & (ratio >= significant)).alias("starts"), (ratio <= -significant).alias("not_start"))
-        starters = _judged(known, "starts")
-        quoted = _judged(folded.where("qc + qs > 0").select("lang", "word", F.expr("qc + qs AS n"), F.expr("qc >= 2 AND qc > qs").alias("goes"), F.expr("qs >= qc").alias("stays")), "goes")
-
-        around = raw.where("b > 0").select("lang", "word", "after", "b")
-        n_pairs = {r["lang"]: float(r["n"]) for r in around.groupBy("lang").agg(F.sum("b").alias("n")).collect()}
-        n_after = around.groupBy("lang", "after").agg(F.sum("b").alias("n_after"))
-        closing = documents.sparkSession.createDataFrame([(r["lang"], r["word"]) for r in abbreviations if r["is_one"] and r["closes"]], "lang string, word string")
-        around = around.join(closing, ["lang", "word"])
-        around = around.join(around.groupBy("lang", "word").agg(F.sum("b").alias("n_word")), ["lang", "word"])
-        around = around.where(F.col("b") >= least_count).join(n_after, ["lang", "after"])
-        around = around.join(known.select("lang", F.col("word").alias("after"), "starts"), ["lang", "after"])
-        among = F.create_map(*[F.lit(x) for kv in n_pairs.items() for x in kv])[F.col("lang")] if n_pairs else F.lit(0.0)
-        fixed = around.where(~F.col("starts") & (association(F.col("n_word"), F.col("n_after"), F.col("b"), among) >= significant)).select("lang", "word", "after").collect()
+        score = _abbreviation_score(F.col("all_p") / F.col("all_f"))
+        one = F.col("after") == ""
+        dotted = one & (F.col("p") >= least_count)
+        ratio = association(F.col("all_s"), F.col("f"), F.col("s"), F.col("all_f"))
+        flags = {
+            "is_one": dotted & (score >= threshold) & ~ends_only, "closes": (F.col("e") >= closing_share * F.col("p")) & (F.col("e") >= 1),
+            "starts": one & (F.col("s") >= least_count) & (ratio >= significant), "not_start": one & (F.col("f") > 0) & (ratio <= -significant),
+            "goes": one & (F.col("qc") >= 2) & (F.col("qc") > F.col("qs")), "stays": one & (F.col("qs") > 0) & (F.col("qs") >= F.col("qc")),
+        }
+        judged = raw.where("word <> ''").join(per_language, "lang").withColumns(flags)
+        # what says nothing about a boundary leaves here: most words, and most pairs
+        judged = cut(judged.where(dotted | F.col("starts") | F.col("not_start") | F.col("goes") | F.col("stays") | one & (F.col("a") >= least_count) | ~one & (F.col("b") >= least_count)))
     finally:
         raw.unpersist()
 
+    words = judged.where("after = ''")
+    abbreviations = _judged(words.where(F.col("p") >= least_count).select("lang", "word", "is_one", "closes", (F.col("p") + F.col("w")).alias("uses"), "n"), "is_one")
+    starters = _judged(words.where("starts OR not_start").select("lang", "word", "starts", "not_start", F.col("f").alias("uses")), "starts")
+    quoted = _judged(words.where("goes OR stays").select("lang", "word", "goes", "stays", F.expr("qc + qs").alias("uses")), "goes")
+    closing = documents.sparkSession.createDataFrame([(r["lang"], r["word"], r["n"]) for r in abbreviations if r["is_one"] and r["closes"]], "lang string, word string, n_word long")
+    around = judged.where("after <> ''").select("lang", "word", "after", "b", "all_n").join(closing, ["lang", "word"])
+    around = around.join(words.where(F.col("a") >= least_count).select("lang", F.col("word").alias("after"), F.col("a").alias("n_after"), "starts"), ["lang", "after"])
+    fixed = around.where(~F.col("starts") & (association(F.col("n_word"), F.col("n_after"), F.col("b"), F.col("all_n")) >= significant)).select("lang", "word", "after").collect()
+
     model = Model()
     most: dict[str, int] = {}
     for r in abbreviations:
@@ -374,8 +399,8 @@ def learn(documents: DataFrame, text: Column, label: Column, least_count: int =
             model.plain.setdefault(r["lang"], set()).add(word)
         else:
             model.abbreviations.setdefault(r["lang"], {})[word] = found
-        if r["n"] > most.get(word, 0):
-            most[word] = r["n"]
+        if r["uses"] > most.get(word, 0):
+            most[word] = r["uses"]
             if found is None:
                 model.anywhere.pop(word, None)
             else:
@@ -387,8 +412,8 @@ def learn(documents: DataFrame, text: Column, label: Column, least_count: int =
                 continue
             if r["lang"] != "und":
                 own.setdefault(r["lang"], {})[r["word"]] = r[yes]
-            if r["n"] > most.get(r["word"], 0):
-                most[r["word"]] = r["n"]
+            if r["uses"] > most.get(r["word"], 0):
+                most[r["word"]] = r["uses"]
                 (anywhere.add if r[yes] else anywhere.discard)(r["word"])
     for r in fixed:
         model.pairs.setdefault(r["lang"], set()).add((r["word"], r["after"]))
@@ -400,7 +425,7 @@ def sentence_spans(text: str | None, lang: str, model: Model) -> list[tuple[int,
     spans: list[tuple[int, int]] = []
     if not text:
         return spans
-    lower = is_lower(text)
+    lower = is_lower(text.split())
     for a, b in blocks(text) if _BREAK.search(text) else _whole(text):
         cuts = sorted(set(_mark_cuts(text, a, b, lang, lower, model)) | set(_thai_cuts(text, a, b)))
         at = a
