@@ -30,16 +30,16 @@ def rolling_totals(daily: DataFrame, keys: Sequence[str], end_day: str, periods:
     ``daily``: keys, ``day``, ``cents``; at most one row per key and day, or several to be added up. Rows after end_day
     take no part. Also ``day_no``: 1 on the key's first day. An empty input gives an empty result.
 
-    One shuffle: rows are exchanged by the keys once; the sum per day and both windows use that order. A key's group is bounded by the days in range,
+    One shuffle: daily rows are exchanged by the keys once, before each is spread to its deltas; the sum per day and both windows use that partitioning. A key's group is bounded by the days in range,
     whatever the number of rows behind them.
     """
     end = F.lit(end_day).cast("date")
-    used = daily.where(F.col("day") <= end)
+    used = daily.where(F.col("day") <= end).repartition(*keys)
     zero = F.lit(0).cast("long")
     steps = [F.struct(F.col("day").alias("day"), *[F.col("cents").alias(f"d{p}") for p in periods])]
     steps += [F.struct(F.date_add("day", p).alias("day"), *[(-F.col("cents") if q == p else zero).alias(f"d{q}") for q in periods]) for p in sorted(periods)]
     deltas = used.select(*keys, F.explode(F.array(*steps)).alias("s")).select(*keys, "s.*").where(F.col("day") <= end)
-    by_day = deltas.repartition(*keys).groupBy(*keys, "day").agg(*[F.sum(f"d{p}").alias(f"d{p}") for p in periods])
+    by_day = deltas.groupBy(*keys, "day").agg(*[F.sum(f"d{p}").alias(f"d{p}") for p in periods])
 
     order = Window.partitionBy(*keys).orderBy("day")
     running = order.rowsBetween(Window.unboundedPreceding, 0)
