@@ -47,15 +47,21 @@ VOTE_TOPIC_KEYWORDS = {
     "fiscal": ["budget", "fiscal", "deficit", "debt", "appropriations", "tax", "taxation", "vat", "financial framework", "multiannual financial framework", "mff", "recovery facility", "own resources", "economic governance", "monetary", "inflation", "public finances", "koltsegvetes", "költségvetés", "fiskalis", "fiskális", "adossag", "adósság", "budgétaire", "fiscalité"],
 }
 
-# Country codes of coded events to ISO two-letter codes.
+# Country codes of coded events (three letters, and two-letter ones of another system) to ISO two-letter codes.
 CODED_COUNTRIES = {
-    "AT": ["AUT", "AU"], "BE": ["BEL", "BE"], "BG": ["BGR", "BU"], "HR": ["HRV", "HR"], "CY": ["CYP", "CY"], "CZ": ["CZE", "CZR", "EZ"], "DK": ["DNK", "DNM", "DA"],
-    "EE": ["EST", "EN"], "FI": ["FIN", "FI"], "FR": ["FRA", "FR"], "DE": ["DEU", "GER", "GM"], "GR": ["GRC", "GRE", "GR"], "HU": ["HUN", "HU"], "IE": ["IRL", "IRE", "EI"],
-    "IT": ["ITA", "IT"], "LV": ["LVA", "LAT", "LG"], "LT": ["LTU", "LIT", "LH"], "LU": ["LUX", "LU"], "MT": ["MLT", "MT"], "NL": ["NLD", "NET", "NL"], "PL": ["POL", "PL"],
-    "PT": ["PRT", "POR", "PO"], "RO": ["ROU", "ROM", "RO"], "SK": ["SVK", "SLO", "LO"], "SI": ["SVN", "SLV", "SI"], "ES": ["ESP", "SPN", "SP"], "SE": ["SWE", "SWD", "SW"],
-    "US": ["USA", "US"], "GB": ["GBR", "UK", "GB"], "RU": ["RUS", "RS"], "UA": ["UKR", "UP"], "CN": ["CHN", "CH"], "TR": ["TUR", "TU"],
+    "AUT": "AT", "AU": "AT", "BEL": "BE", "BE": "BE", "BGR": "BG", "BU": "BG", "HRV": "HR", "HR": "HR", "CYP": "CY", "CY": "CY", "CZE": "CZ", "CZR": "CZ", "EZ": "CZ",
+    "DNK": "DK", "DNM": "DK", "DA": "DK", "EST": "EE", "EN": "EE", "FIN": "FI", "FI": "FI", "FRA": "FR", "FR": "FR", "DEU": "DE", "GER": "DE", "GM": "DE",
+    "GRC": "GR", "GRE": "GR", "GR": "GR", "HUN": "HU", "HU": "HU", "IRL": "IE", "IRE": "IE", "EI": "IE", "ITA": "IT", "IT": "IT", "LVA": "LV", "LAT": "LV", "LG": "LV",
+    "LTU": "LT", "LIT": "LT", "LH": "LT", "LUX": "LU", "LU": "LU", "MLT": "MT", "MT": "MT", "NLD": "NL", "NET": "NL", "NL": "NL", "POL": "PL", "PL": "PL",
+    "PRT": "PT", "POR": "PT", "PO": "PT", "ROU": "RO", "ROM": "RO", "RO": "RO", "SVK": "SK", "SLO": "SK", "LO": "SK", "SVN": "SI", "SLV": "SI", "SI": "SI",
+    "ESP": "ES", "SPN": "ES", "SP": "ES", "SWE": "SE", "SWD": "SE", "SW": "SE",
+    "USA": "US", "US": "US", "GBR": "GB", "UK": "GB", "GB": "GB", "RUS": "RU", "RS": "RU", "UKR": "UA", "UP": "UA", "CHN": "CN", "CH": "CN", "TUR": "TR", "TU": "TR",
+}
+# Three-letter codes of the EU's countries.
+ISO3 = {
+    "AUT": "AT", "BEL": "BE", "BGR": "BG", "HRV": "HR", "CYP": "CY", "CZE": "CZ", "DNK": "DK", "EST": "EE", "FIN": "FI", "FRA": "FR", "DEU": "DE", "GRC": "GR", "HUN": "HU", "IRL": "IE",
+    "ITA": "IT", "LVA": "LV", "LTU": "LT", "LUX": "LU", "MLT": "MT", "NLD": "NL", "POL": "PL", "PRT": "PT", "ROU": "RO", "SVK": "SK", "SVN": "SI", "ESP": "ES", "SWE": "SE",
 }
-ISO3 = {iso2: codes[0] for iso2, codes in CODED_COUNTRIES.items() if iso2 in EU}
 
 GROUPS = {
     "PPE": "EPP", "EPP": "EPP", "SD": "S&D", "S&D": "S&D", "RE": "Renew", "RENEW": "Renew", "VERTS/ALE": "Greens/EFA", "GREENS/EFA": "Greens/EFA",
@@ -67,6 +73,24 @@ POSITIONS = {
 }
 VOTE_SCORE = {"for": "1", "abstain": "0.25", "against": "-1"}
 
+# Words that tell a member's position, in the order they are tried; contained anywhere.
+POSITION_WORDS = {
+    "abstain": ["abstention", "abstain", "abstained", "tartózk"],
+    "against": ["against", "rejected", "elutasít", "ellene"],
+    "for": ["for", "adopted", "approved", "favour", "favor", "igen", "mellette"],
+}
+
+# Labels of reports (Hungarian).
+TOPIC_LABELS = {
+    "migration": "migráció", "ukraine_russia": "Ukrajna / Oroszország", "enlargement": "bővítés", "defence": "védelem", "energy": "energia",
+    "fiscal": "fiskális politika", "rule_of_law": "jogállamiság", "trade": "gazdaság / belső piac",
+}
+LAYER_LABELS = {"rss": "RSS", "gdelt": "GDELT", "combined": "Combined", "votes": "Votes"}
+MODE_LABELS = {"all": "teljes nézet", "internal": "EU belső", "external": "EU külső"}
+STATUS_LABELS = {"gained": "újonnan kialakult", "lost": "megszűnő", "improved": "erősödő", "declined": "gyengülő", "stable": "stabil"}
+RELATION_LABELS = {"strong": "erős", "medium": "közepes", "weak": "gyenge"}
+TREND_LABELS = {"up": "javuló", "down": "romló", "flat": "stabil"}
+
 WINDOWS = {"7d": 7, "30d": 30, "90d": 90}
 MODES = ["all", "internal", "external"]
 

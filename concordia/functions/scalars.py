@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from concordia.config import CODED_COUNTRIES, EU, EXTERNAL, GROUPS, ISO3, POSITIONS, TOPICS
+from concordia.config import CODED_COUNTRIES, EU, EXTERNAL, GROUPS, ISO3, POSITIONS, RELATION_LABELS, TOPICS, TREND_LABELS
 
 DEC = "decimal(18,4)"
 
@@ -27,14 +27,21 @@ def is_eu(c: Column, eu: list[str] | None = None) -> Column:
 # dates
 
 def iso_or_mail_timestamp(c: Column) -> Column:
-    """ISO-8601, then RFC-2822, then a bare date; without zone UTC; else null. Needs a session in UTC."""
+    """ISO-8601, then RFC-2822, then a bare date; without zone UTC; else null. What is parsed always carries its zone, so the session's does not matter."""
     s = F.trim(c)
-    iso = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s?(Z|[+-]\d{2}:?\d{2})?)?$"), F.try_to_timestamp(s))
+    day, clock, zone = r"\d{4}-\d{2}-\d{2}", r"[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?", r"\s?(Z|[+-]\d{2}:?\d{2})"
+    iso = F.when(s.rlike(f"^{day}{clock}{zone}$"), F.try_to_timestamp(s)).when(s.rlike(f"^{day}{clock}$"), F.try_to_timestamp(F.concat(s, F.lit("Z"))))
+    iso = iso.when(s.rlike(f"^{day}$"), F.try_to_timestamp(F.concat(s, F.lit("T00:00:00Z"))))
     bare = F.regexp_replace(s, r"^[A-Za-z]{3},\s*", "")
     mail = F.coalesce(F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss xx")), F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss z")))
     return F.coalesce(iso, F.when(bare.rlike(r"^\d{1,2} [A-Z][a-z]{2} \d{4} "), mail))
 
 
+def utc_date(ts: Column) -> Column:
+    """The UTC day of an instant, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86_400).cast("int"))
+
+
 def event_timestamp(now: str, *candidates: Column) -> Column:
     """The first candidate that can be read; else ``now``, so undated events are always current."""
     return F.coalesce(*[iso_or_mail_timestamp(c) for c in candidates], F.lit(now).cast("timestamp"))
@@ -44,12 +51,13 @@ def storage_date(published: Column, collected: Column) -> Column:
     """UTC date under which an event is stored: RFC-2822 ``published``, else ISO ``collected``, else null."""
     mail = F.when(F.trim(published).rlike(r"^([A-Za-z]{3},\s*)?\d{1,2} [A-Z][a-z]{2} \d{4} "), iso_or_mail_timestamp(published))
     iso = F.when(F.trim(collected).rlike(r"^\d{4}-\d{2}-\d{2}"), iso_or_mail_timestamp(collected))
-    return F.to_date(F.coalesce(mail, iso))
+    return utc_date(F.coalesce(mail, iso))
 
 
 def export_timestamp(url: Column) -> Column:
     """The 14 digits at the start of an export's file name as a UTC timestamp, else null."""
-    return F.try_to_timestamp(F.nullif(F.regexp_extract(F.element_at(F.split(url, "/"), -1), r"^(\d{14})(?!\d)", 1), F.lit("")), F.lit("yyyyMMddHHmmss"))
+    digits = F.regexp_extract(F.element_at(F.split(url, "/"), -1), r"^(\d{14})(?!\d)", 1)
+    return F.try_to_timestamp(F.concat(F.nullif(digits, F.lit("")), F.lit("+0000")), F.lit("yyyyMMddHHmmssxx"))
 
 
 # weights and scores
@@ -85,11 +93,11 @@ def vote_relation(weight: Column) -> Column:
 
 
 def relation_label(score: Column) -> Column:
-    return F.when(score >= 70, "strong").when(score >= 40, "medium").otherwise("weak")
+    return F.when(score >= 70, RELATION_LABELS["strong"]).when(score >= 40, RELATION_LABELS["medium"]).otherwise(RELATION_LABELS["weak"])
 
 
 def trend_label(delta: Column) -> Column:
-    return F.when(delta > 5, "strengthening").when(delta < -5, "weakening").otherwise("stable")
+    return F.when(delta > 5, TREND_LABELS["up"]).when(delta < -5, TREND_LABELS["down"]).otherwise(TREND_LABELS["flat"])
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -112,14 +120,13 @@ def profile_closeness(a: Column, b: Column) -> Column:
 def coded_country(code: Column) -> Column:
     """ISO two-letter code of a coded event's country code, null if unknown."""
     k = F.upper(F.trim(code))
-    known = {c: iso for iso, codes in CODED_COUNTRIES.items() for c in codes}
-    return F.coalesce(lookup(known, k), F.when(k.isin(EU + EXTERNAL), k))
+    return F.coalesce(lookup(CODED_COUNTRIES, k), F.when(k.isin(EU + EXTERNAL), k))
 
 
 def vote_country(code: Column) -> Column:
     """EU code of a two- or three-letter code; '' for all others."""
     k = F.upper(F.trim(F.coalesce(code, F.lit(""))))
-    return F.when(k.isin(EU), k).otherwise(F.coalesce(lookup({v: k for k, v in ISO3.items()}, k), F.lit("")))
+    return F.when(k.isin(EU), k).otherwise(F.coalesce(lookup(ISO3, k), F.lit("")))
 
 
 def vote_group(code: Column) -> Column:

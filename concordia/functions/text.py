@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from functools import reduce
 
@@ -11,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from concordia.config import POSITION_WORDS
+
 _URL = r"(?i)(?:https?://\S+|www\.\S+)"
 _EMAIL = r"(?U)\b[\w.-]+@[\w.-]+\.\w+\b"
 
@@ -27,18 +30,16 @@ def strip_accents(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
 
 
-@F.pandas_udf(T.StringType())
-def person_name(s: pd.Series) -> pd.Series:
+def person_key(name: str) -> str:
     """Name as a match key: lower case, no marks, hyphens and other non-word characters as blanks."""
-    import re
+    bare = "".join(c for c in unicodedata.normalize("NFD", name.lower()) if unicodedata.category(c) != "Mn")
+    return " ".join(re.sub(r"[^\w\s]", " ", bare.replace("-", " ")).split())
 
-    def one(x):
-        if x is None:
-            return None
-        bare = "".join(c for c in unicodedata.normalize("NFD", x.lower()) if unicodedata.category(c) != "Mn")
-        return " ".join(re.sub(r"[^\w\s]", " ", bare.replace("-", " ")).split())
 
-    return s.map(one)
+@F.pandas_udf(T.StringType())
+def person_name(s: pd.Series) -> pd.Series:
+    """:func:`person_key` of a column."""
+    return s.map(lambda x: None if x is None else person_key(x))
 
 
 def collapse_whitespace(c: Column) -> Column:
@@ -100,13 +101,10 @@ def contains_any(c: Column, words: list[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.contains(c, F.lit(w)) for w in words))
 
 
-#: Position words in the order they are tried.
-VOTE_WORDS = [("abstain", ["abstain", "abstention", "tartózkod"]), ("against", ["against", "contre", "ellen"]), ("for", ["for", "in favour", "pour", "mellett"])]
-
-
-def vote_label(c: Column) -> Column:
+def vote_label(c: Column, words: dict[str, list[str]] | None = None) -> Column:
+    """The position that a text's words tell, the first that applies; null without any."""
     low = F.lower(c)
-    return reduce(lambda done, w: F.when(contains_any(low, w[1]), w[0]).otherwise(done), reversed(VOTE_WORDS), F.lit(None).cast("string"))
+    return reduce(lambda done, w: F.when(contains_any(low, w[1]), w[0]).otherwise(done), reversed((words or POSITION_WORDS).items()), F.lit(None).cast("string"))
 
 
 def strip_namespace(tag: Column) -> Column:

@@ -8,6 +8,8 @@ the few groups that remain, not over the events.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,18 +18,28 @@ from concordia.functions import scalars as S
 from concordia.operators.events import eu_countries
 
 WINDOW_DAYS = (7, 30, 90)
+#: Trailing windows in days, or numbered spans of ``ts``.
+Windows = tuple[int, ...] | dict[int, Column]
 
 
 def _start(now: str, days: int) -> Column:
-    return F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
+    return F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {24 * int(days)} HOURS")
+
+
+def periods(now: str, days: int, ts: str = "ts") -> dict[int, Column]:
+    """Spans to take the place of trailing windows: 1 is the current period of ``days`` up to ``now`` and later, 2 the one before."""
+    return {1: F.col(ts) >= _start(now, days), 2: (F.col(ts) >= _start(now, 2 * days)) & (F.col(ts) < _start(now, days))}
+
+
+def _spans(now: str, windows: Windows) -> dict[int, Column]:
+    return windows if isinstance(windows, dict) else {d: F.col("ts") >= _start(now, d) for d in windows}
 
 
-def _windowed_sums(rows: DataFrame, keys: list[str], now: str, windows: tuple[int, ...]) -> DataFrame:
-    """keys, ``window_days``, ``weight``: the sum of ``weight`` of rows with ``ts`` in each trailing window, groups without a row in it left out."""
-    recent = rows.where(F.col("ts") >= _start(now, max(windows)))
-    inside = {d: F.col("ts") >= _start(now, d) for d in windows}
-    sums = recent.groupBy(*keys).agg(*[F.sum(F.when(inside[d], F.col("weight"))).alias(f"w{d}") for d in windows])
-    spread = F.explode(F.array(*[F.struct(F.lit(d).alias("window_days"), F.col(f"w{d}").alias("weight")) for d in windows]))
+def _windowed_sums(rows: DataFrame, keys: list[str], now: str, windows: Windows) -> DataFrame:
+    """keys, ``window_days``, ``weight``: the sum of ``weight`` of rows with ``ts`` in each trailing window (or other span), groups without a row in it left out."""
+    inside = _spans(now, windows)
+    sums = rows.where(reduce(lambda a, b: a | b, inside.values())).groupBy(*keys).agg(*[F.sum(F.when(c, F.col("weight"))).alias(f"w{d}") for d, c in inside.items()])
+    spread = F.explode(F.array(*[F.struct(F.lit(d).alias("window_days"), F.col(f"w{d}").alias("weight")) for d in inside]))
     return sums.select(*keys, spread.alias("s")).select(*keys, "s.window_days", "s.weight").where("weight IS NOT NULL")
 
 
@@ -39,22 +51,23 @@ def valid_pairs(events: DataFrame) -> DataFrame:
     return pairs.select("ts", F.least(a, b).alias("source"), F.greatest(a, b).alias("target"), "weight").withColumn("kind", S.pair_type(F.col("source"), F.col("target"))).where("kind <> 'other'")
 
 
-def graph_edges(events: DataFrame, now: str, windows: tuple[int, ...] = WINDOW_DAYS) -> DataFrame:
+def graph_edges(events: DataFrame, now: str, windows: Windows = WINDOW_DAYS) -> DataFrame:
     """``window_days``, ``mode``, ``source``, ``target``, ``weight``."""
     sums = _windowed_sums(valid_pairs(events), ["source", "target", "kind"], now, windows)
     return sums.select("window_days", F.explode(S.pair_modes(F.col("kind"))).alias("mode"), "source", "target", F.round("weight", 2).cast("double").alias("weight"))
 
 
-def graph_nodes(events: DataFrame, now: str, windows: tuple[int, ...] = WINDOW_DAYS) -> DataFrame:
+def graph_nodes(events: DataFrame, now: str, windows: Windows = WINDOW_DAYS) -> DataFrame:
     """``window_days``, ``mode``, ``country``, ``weight``: the summed weight of a country's pairs."""
     sums = _windowed_sums(valid_pairs(events), ["source", "target", "kind"], now, windows)
     ends = sums.select("window_days", F.explode(S.pair_modes(F.col("kind"))).alias("mode"), F.explode(F.array("source", "target")).alias("country"), "weight")
     return ends.groupBy("window_days", "mode", "country").agg(F.round(F.sum("weight"), 2).cast("double").alias("weight"))
 
 
-def event_counts(events: DataFrame, now: str, windows: tuple[int, ...] = WINDOW_DAYS) -> DataFrame:
+def event_counts(events: DataFrame, now: str, windows: Windows = WINDOW_DAYS) -> DataFrame:
     """``window_days``, ``event_count``: all events of the window, whatever they add to a graph."""
-    counts = events.agg(*[F.count_if(F.col("ts") >= _start(now, d)).alias(f"n{d}") for d in windows])
+    windows = _spans(now, windows)
+    counts = events.agg(*[F.count_if(c).alias(f"n{d}") for d, c in windows.items()])
     return counts.select(F.explode(F.array(*[F.struct(F.lit(d).alias("window_days"), F.col(f"n{d}").alias("event_count")) for d in windows])).alias("s")).select("s.*")
 
 
@@ -68,7 +81,7 @@ def mode_countries(countries: Column, pairs: Column) -> Column:
     return F.concat(tag("all", everyone), tag("internal", inner), tag("external", ends))
 
 
-def heatmap_long(events: DataFrame, now: str, windows: tuple[int, ...] = WINDOW_DAYS, topics: list[str] | None = None) -> DataFrame:
+def heatmap_long(events: DataFrame, now: str, windows: Windows = WINDOW_DAYS, topics: list[str] | None = None) -> DataFrame:
     """``window_days``, ``mode``, ``country``, ``topic``, ``weight`` (unrounded decimal): summed event weights."""
     topics = topics or TOPICS
     kept = F.filter(S.text_array(F.col("topics")), lambda t: t.isin(topics))
@@ -77,7 +90,7 @@ def heatmap_long(events: DataFrame, now: str, windows: tuple[int, ...] = WINDOW_
     return _windowed_sums(cells, ["mode", "country", "topic"], now, windows)
 
 
-def heatmap(events: DataFrame, now: str, windows: tuple[int, ...] = WINDOW_DAYS, topics: list[str] | None = None) -> DataFrame:
+def heatmap(events: DataFrame, now: str, windows: Windows = WINDOW_DAYS, topics: list[str] | None = None) -> DataFrame:
     """One row per ``window_days``, ``mode`` and ``country`` with a column per topic (0 where nothing) and ``total``, rounded to 3 digits."""
     topics = topics or TOPICS
     wide = heatmap_long(events, now, windows, topics).groupBy("window_days", "mode", "country").pivot("topic", topics).agg(F.sum("weight")).na.fill(0)

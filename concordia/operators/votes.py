@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordia.config import TOPICS, VOTE_SCORE, Thresholds
@@ -45,21 +45,50 @@ def country_positions(folded: DataFrame) -> DataFrame:
     return by.select("vote_id", F.col("key").alias("country"), majority(n_for=F.col("n_for"), n_against=F.col("n_against"), n_abstain=F.col("n_abstain")).alias("position")).where("position IS NOT NULL")
 
 
-def conflicts(votes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Per vote: counts, ``divisive`` (two valid votes and two positions at least) and ``conflict`` = 1 - share of the largest position, 6 digits. Over all countries."""
-    counts = votes.where(F.col("position").isin(POSITIONS)).groupBy(*scope, "vote_id", "topic").agg(*[F.count_if(F.col("position") == p).alias(f"n_{p}") for p in POSITIONS])
+def gathered(votes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """One row per vote: ``v`` (its countries with a valid position, sorted), ``n_valid``, ``divisive`` (two valid votes and two positions at least) and
+    ``conflict`` = 1 - share of the largest position, 6 digits, over all countries. The one exchange by vote that all builders share; a vote has a row per country at most.
+    """
+    lists = votes.where(F.col("position").isin(POSITIONS)).groupBy(*scope, "vote_id", "topic").agg(
+        F.array_sort(F.collect_list(F.struct("country", "position"))).alias("v"), *[F.count_if(F.col("position") == p).alias(f"n_{p}") for p in POSITIONS]
+    )
     n = sum((F.col(f"n_{p}") for p in POSITIONS), F.lit(0))
     kinds = sum(((F.col(f"n_{p}") > 0).cast("int") for p in POSITIONS), F.lit(0))
     most = F.greatest(*[F.col(f"n_{p}") for p in POSITIONS])
     weight = F.round(1 - most.cast("decimal(18,0)") / n.cast("decimal(18,0)"), 6).cast(_CW)
-    return counts.withColumns({"n_valid": n, "divisive": (n >= Thresholds().divisive_min) & (kinds >= 2), "conflict": weight})
+    return lists.withColumns({"n_valid": n, "divisive": (n >= Thresholds().divisive_min) & (kinds >= 2), "conflict": weight})
+
+
+def conflicts(votes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Per vote: counts, ``n_valid``, ``divisive`` and ``conflict``."""
+    return gathered(votes, scope).drop("v")
+
+
+def _worth(votes: DataFrame, scope: Sequence[str], limits: Thresholds) -> DataFrame:
+    """Divisive votes on a known topic with enough conflict, with their EU countries in ``v``."""
+    kept = gathered(votes, scope).where(F.col("divisive") & F.col("topic").isin(TOPICS) & (F.col("conflict") >= F.lit(limits.min_conflict_weight).cast(_CW)))
+    return kept.select(*scope, "vote_id", "topic", "conflict", F.filter("v", lambda x: S.is_eu(x["country"])).alias("v"))
 
 
 def counted(votes: DataFrame, scope: Sequence[str] = (), limits: Thresholds = Thresholds()) -> DataFrame:
     """EU votes that count in the networks: of divisive votes on a known topic with enough conflict, with ``conflict``."""
-    worth = conflicts(votes, scope).where(F.col("divisive") & F.col("topic").isin(TOPICS) & (F.col("conflict") >= F.lit(limits.min_conflict_weight).cast(_CW)))
-    mine = votes.where(F.col("position").isin(POSITIONS) & S.is_eu(F.col("country")))
-    return mine.join(worth.select(*scope, "vote_id", "topic", "conflict"), [*scope, "vote_id", "topic"])
+    return _worth(votes, scope, limits).select(*scope, "vote_id", "topic", "conflict", F.explode("v").alias("x")).select(*scope, "vote_id", "topic", "conflict", "x.country", "x.position")
+
+
+def windowed(votes: DataFrame, now: str, windows: Sequence[int] = (7, 30, 90), date: str = "date") -> DataFrame:
+    """The votes of each trailing window, with ``window_days``: by their UTC day, later ones included."""
+    inside = [F.when(S.iso_or_mail_timestamp(F.col(date)) >= F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {24 * int(d)} HOURS"), F.lit(int(d))) for d in windows]
+    return votes.withColumn("window_days", F.explode(F.array_compact(F.array(*inside))))
+
+
+def by_mode(rows: DataFrame, modes: Sequence[str] = ("all", "internal", "external")) -> DataFrame:
+    """Results of votes for each mode: all and internal ones are the same, as votes are of EU countries only; external ones have none."""
+    return rows.withColumn("mode", F.explode(F.array(*[F.lit(m) for m in modes if m != "external"])))
+
+
+def vote_counts(votes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """scope, ``event_count``: all votes of the scope, also in modes that show none."""
+    return votes.groupBy(*scope).agg(F.count_distinct("vote_id").alias("event_count"))
 
 
 def pair_score(a: Column, b: Column) -> Column:
@@ -67,18 +96,17 @@ def pair_score(a: Column, b: Column) -> Column:
     return F.when((a == b) & (a != "abstain"), dec("1")).when(a == b, dec("0.75")).when((a == "abstain") | (b == "abstain"), dec("0.25")).otherwise(dec("0"))
 
 
-def vote_pairs(rows: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Country pairs of each vote: one grouping of at most a row per EU country, pairs made inside it, no self-join."""
-    lists = rows.groupBy(*scope, "vote_id", "topic", "conflict").agg(F.array_sort(F.collect_list(F.struct("country", "position"))).alias("v"))
-    made = F.flatten(F.transform("v", lambda x, i: F.transform(F.slice("v", i + 2, F.size("v")), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-    return lists.select(*scope, "vote_id", "topic", "conflict", F.explode(made).alias("p")).select(
+def vote_pairs(votes: DataFrame, scope: Sequence[str] = (), limits: Thresholds = Thresholds()) -> DataFrame:
+    """Country pairs of each vote that counts, made inside the row of the vote: at most a pair of EU countries each, no self-join."""
+    made = F.flatten(F.transform("v", lambda x, i: F.transform(F.slice("v", i + 2, F.greatest(F.size("v"), F.lit(1))), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+    return _worth(votes, scope, limits).select(*scope, "vote_id", "topic", "conflict", F.explode(made).alias("p")).select(
         *scope, "vote_id", "topic", "conflict", F.col("p.a.country").alias("source"), F.col("p.b.country").alias("target"), F.col("p.a.position").alias("pa"), F.col("p.b.position").alias("pb")
     )
 
 
 def graph_edges(votes: DataFrame, scope: Sequence[str] = (), limits: Thresholds = Thresholds()) -> DataFrame:
     """scope, ``source``, ``target``, ``weight`` (conflict-weighted agreement, 3 digits), ``count``, ``relation`` and ``topics`` (the three with the largest signed sums)."""
-    pairs = vote_pairs(counted(votes, scope, limits), scope)
+    pairs = vote_pairs(votes, scope, limits)
     same = F.when(F.col("pa") == F.col("pb"), F.col("conflict")).otherwise(-F.col("conflict"))
     per_topic = pairs.groupBy(*scope, "source", "target", "topic").agg(
         F.sum(pair_score(F.col("pa"), F.col("pb")) * F.col("conflict")).alias("agreed"), F.sum("conflict").alias("possible"),
@@ -93,9 +121,7 @@ def graph_edges(votes: DataFrame, scope: Sequence[str] = (), limits: Thresholds
 
 def graph_nodes(votes: DataFrame, edges: DataFrame, scope: Sequence[str] = (), limits: Thresholds = Thresholds()) -> DataFrame:
     """scope, ``country``, ``weight`` (sum of its rounded edges), ``count`` (votes it took part in that have two EU countries at least)."""
-    rows = counted(votes, scope, limits)
-    size = rows.groupBy(*scope, "vote_id").agg(F.collect_set("country").alias("cs")).where(F.size("cs") >= 2)  # at most one entry per EU country
-    took = size.select(*scope, F.explode("cs").alias("country")).groupBy(*scope, "country").agg(F.count(F.lit(1)).alias("count"))
+    took = _worth(votes, scope, limits).where(F.size("v") >= 2).select(*scope, F.explode("v.country").alias("country")).groupBy(*scope, "country").agg(F.count(F.lit(1)).alias("count"))
     ends = edges.select(*scope, F.explode(F.array("source", "target")).alias("country"), F.col("weight").cast("decimal(18,3)").alias("w")).groupBy(*scope, "country").agg(F.sum("w").alias("w"))
     return took.join(ends, [*scope, "country"], "left").select(*scope, "country", F.coalesce(F.col("w").cast("double"), F.lit(0.0)).alias("weight"), "count")
 
@@ -116,15 +142,15 @@ def similarity_nodes(normalized: DataFrame, scope: Sequence[str] = ()) -> DataFr
 
 
 def summary(votes: DataFrame, scope: Sequence[str] = (), limits: Thresholds = Thresholds()) -> DataFrame:
-    """Conflict-weighted sums by position at four levels (all, country, topic, country and topic) in one grouping-sets pass; ``total`` adds the rounded parts."""
+    """Conflict-weighted sums by position at four levels (all, country, topic, country and topic) in one grouping-sets pass; ``total`` adds the rounded parts, ``votes`` counts those that any EU country took part in."""
     rows = counted(votes, scope, limits)
     keys = list(scope)
     sets = rows.groupingSets([[*keys], [*keys, "country"], [*keys, "topic"], [*keys, "country", "topic"]], *keys, "country", "topic").agg(
-        *[F.round(F.sum(F.when(F.col("position") == p, F.col("conflict"))), 3).alias(p) for p in POSITIONS], F.grouping("country").alias("gc"), F.grouping("topic").alias("gt")
+        *[F.round(F.sum(F.when(F.col("position") == p, F.col("conflict"))), 3).alias(p) for p in POSITIONS], F.grouping("country").alias("gc"), F.grouping("topic").alias("gt"), F.count_distinct("vote_id").alias("votes")
     )
     level = F.when((F.col("gc") == 1) & (F.col("gt") == 1), "all").when(F.col("gt") == 1, "country").when(F.col("gc") == 1, "topic").otherwise("country_topic")
     parts = [F.coalesce(F.col(p), F.lit(0)).cast("decimal(18,3)") for p in POSITIONS]
-    return sets.select(*keys, level.alias("level"), "country", "topic", *[x.cast("double").alias(f"{p}_weight") for p, x in zip(POSITIONS, parts)], sum(parts, F.lit(0).cast("decimal(18,3)")).cast("double").alias("total"))
+    return sets.select(*keys, level.alias("level"), "country", "topic", *[x.cast("double").alias(f"{p}_weight") for p, x in zip(POSITIONS, parts)], sum(parts, F.lit(0).cast("decimal(18,3)")).cast("double").alias("total"), "votes")
 
 
 def partner_changes(current: DataFrame, previous: DataFrame) -> DataFrame:
@@ -146,6 +172,33 @@ def topic_changes(current: DataFrame, previous: DataFrame) -> DataFrame:
     return out.withColumn("delta", S.exact_round(F.col("current") - F.col("previous"), 3))
 
 
+def changes(current: tuple[DataFrame, DataFrame], previous: tuple[DataFrame, DataFrame], top: int = 5) -> DataFrame:
+    """The change report by country, from the (edges, heatmap) of two periods: partners gained, lost and kept with their counts, ``all_topic_changes`` and the ``top`` largest,
+    and ``ordinal``, the rank by size of the partner change.
+    """
+    topics = topic_changes(current[1], previous[1]).withColumn("abs_delta", S.exact_round(F.abs("delta"), 3))
+    entry = F.struct((-F.col("abs_delta")).alias("k"), "topic", "current", "previous", "delta", "abs_delta")
+    listed = topics.groupBy("country").agg(F.array_sort(F.collect_list(entry)).alias("t"))  # a row per topic
+    listed = listed.select("country", F.transform("t", lambda x: F.struct(*[x[c].alias(c) for c in ("topic", "current", "previous", "delta", "abs_delta")])).alias("all_topic_changes"))
+    zero = F.array(*[F.struct(F.lit(t).alias("topic"), *[F.lit(0.0).alias(c) for c in ("current", "previous", "delta", "abs_delta")]) for t in sorted(TOPICS)])
+    out = partner_changes(current[0], previous[0]).join(listed, "country", "full")
+    none = F.array().cast("array<string>")
+    filled = {c: F.coalesce(c, none) for c in ("gained", "lost", "kept")} | {c: F.coalesce(c, F.lit(0)) for c in ("partners_current", "partners_previous", "partner_delta")}
+    out = out.withColumns(filled | {"all_topic_changes": F.coalesce("all_topic_changes", zero)}).withColumn("top_topic_changes", F.slice("all_topic_changes", 1, top))
+    return out.withColumn("ordinal", F.row_number().over(Window.partitionBy().orderBy(F.desc(F.abs("partner_delta")), "country")))  # a row per country
+
+
+def run_summary(records: DataFrame, saved: DataFrame | None = None) -> DataFrame:
+    """One row over the vote records of a run: how many, how many are saved in all, first and last date, average number of countries (2 digits) and records by topic."""
+    totals = records.agg(
+        F.count(F.lit(1)).alias("new_records"), F.min("date").alias("min_date"), F.max("date").alias("max_date"),
+        F.coalesce(S.exact_round(F.sum(F.size("countries")).cast("double") / F.count(F.lit(1)), 2), F.lit(0.0)).alias("average_countries_per_record"),
+    )
+    topics = records.groupBy(F.coalesce("topic", F.lit("unknown")).alias("topic")).agg(F.count(F.lit(1)).alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("topic", "n")))).alias("topic_counts"))  # a row per topic
+    in_all = (records if saved is None else saved).agg(F.count(F.lit(1)).alias("total_saved_records"))
+    return totals.crossJoin(in_all).crossJoin(topics)  # one row each
+
+
 def vote_records(folded: DataFrame, votes: DataFrame, since: str = "2024-01-01") -> DataFrame:
     """One record per vote of the dimension ``votes`` (vote_id, title, topic, date) dated ``since`` or later: majority position of each country and group as maps, with counts.
 

@@ -56,3 +56,29 @@ BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200C
 def blank_trim(c):
     """``c`` without Unicode white space at either end; looks at the ends only."""
     return F.btrim(c, F.lit(BLANKS))
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def existing_paths(spark: SparkSession, *paths: str) -> list[str]:
+    """Those of ``paths`` (globs may be) that are there. What cannot be looked at raises: it is not the same as missing."""
+    out = []
+    for path in paths:
+        p, fs = _path(spark, path)
+        found = fs.globStatus(p)
+        if found is not None and len(found):
+            out.append(path)
+    return out
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file on the cluster's storage, in the place of one that is there."""
+    p, fs = _path(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()

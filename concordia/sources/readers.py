@@ -10,13 +10,16 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from concordia.functions.scalars import export_timestamp
+from concordia.functions.scalars import export_timestamp, utc_date
 from concordia.operators.events import newest_per_group
+from concordia.runtime import existing_paths
 
 EVENT = """layer string, source_name string, source_type string, title string, summary string, body string, url string, published_at string, collected_at string,
 topics array<string>, primary_topic string, countries array<string>, country_groups struct<eu:array<string>,external:array<string>>, country_pairs array<array<string>>, metadata map<string,string>"""
@@ -32,25 +35,39 @@ EXPORT_COLUMNS = {
 }
 
 
+VOTE_RECORD = """id string, date string, title string, topic string, countries map<string,string>, groups map<string,string>,
+country_vote_counts map<string,struct<`for`:int,against:int,abstain:int>>, group_vote_counts map<string,struct<`for`:int,against:int,abstain:int>>, source string, institution string, url string"""
+
+
 def read_events(spark: SparkSession, *paths: str, day: str | None = None) -> DataFrame:
-    """Events from JSON lines; malformed and empty lines are dropped. With ``day`` only that ``event_date`` partition is read."""
-    rows = spark.read.schema(EVENT).option("mode", "DROPMALFORMED").json(list(paths))
+    """Events from JSON lines; malformed and empty lines are dropped, paths that are not there give none. With ``day`` only that ``event_date`` partition is read."""
+    there = existing_paths(spark, *paths)
+    if not there:
+        return spark.createDataFrame([], EVENT)
+    rows = spark.read.schema(EVENT).option("mode", "DROPMALFORMED").json(there)
     return rows.where(F.col("event_date") == day) if day else rows
 
 
 def read_layer(spark: SparkSession, root: str, layer: str) -> DataFrame:
-    """``rss``, ``gdelt`` or ``combined`` (both) events under ``root``/<layer>, without deduplication; ``layer`` as the folder names it."""
-    names = ["rss", "gdelt"] if layer == "combined" else [layer]
-    parts = [read_events(spark, f"{root}/{n}") for n in names]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    """``rss``, ``gdelt`` or ``combined`` (both) events under ``root``/<layer>, without deduplication, with the older files of rss that lie in ``root`` itself; ``votes``: vote records."""
+    if layer == "votes":
+        return read_json_array(spark, f"{root}/votes/council_votes.json", VOTE_RECORD)
+    names = {"rss": [f"{root}/rss", f"{root}/*.jsonl"], "gdelt": [f"{root}/gdelt"]}
+    parts = [read_events(spark, p) for n in (["rss", "gdelt"] if layer == "combined" else [layer]) for p in names[n]]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a file that holds one JSON array; anything else gives rows of nulls, which are dropped."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path).na.drop("all")
+    """Rows of files that hold one JSON array each; files that are not there, are malformed or hold anything else give none."""
+    if not existing_paths(spark, path):
+        return spark.createDataFrame([], schema)
+    whole = spark.read.text(path, wholetext=True).where(F.col("value").rlike(r"^\s*\["))
+    return whole.select(F.inline(F.from_json("value", f"array<struct<{', '.join(_fields(schema))}>>")))
+
+
+def _fields(schema: str) -> list[str]:
+    """The columns of a schema in the form that a struct takes."""
+    return [f"`{f.name}`: {f.dataType.simpleString()}" for f in T._parse_datatype_string(schema).fields]
 
 
 def read_votes(spark: SparkSession, path: str) -> DataFrame:
@@ -75,7 +92,7 @@ def manifest_urls(spark: SparkSession, path: str, limit: int | None = None) -> D
 
 def history_urls(urls: DataFrame, today: str, days_back: int = 14, per_day: int = 2) -> DataFrame:
     """The newest ``per_day`` files of each of the last ``days_back`` UTC days up to ``today``."""
-    dated = urls.where("ts IS NOT NULL").withColumn("day", F.to_date("ts"))
+    dated = urls.where("ts IS NOT NULL").withColumn("day", utc_date(F.col("ts")))
     recent = dated.where((F.col("day") <= F.lit(today).cast("date")) & (F.col("day") > F.date_sub(F.lit(today).cast("date"), days_back)))
     return newest_per_group(recent, ["day"], [F.desc("ts"), F.col("url")], per_day)
 
@@ -106,21 +123,17 @@ def read_feeds(spark: SparkSession, path: str, source_name: str, collected_at: s
 
 
 def read_all_feeds(spark: SparkSession, sources: list[dict], collected_at: str) -> DataFrame:
-    """All enabled sources (name, path, enabled) together; one that cannot be read is left out, not fatal."""
+    """All enabled sources (name, path, enabled) together; one whose files are not there is reported and left out, not fatal."""
     parts = []
     for s in sources:
         if not s.get("enabled", True):
             continue
-        try:
-            feed = read_feeds(spark, s["path"], s["name"], collected_at)
-            feed.schema  # noqa: B018  (a missing path fails here)
-            parts.append(feed)
-        except Exception as e:
-            print(f"source {s['name']} left out: {str(e)[:100]}")
-    out = parts[0] if parts else spark.createDataFrame([], "source_name string, source_type string, title string, summary string, body string, url string, published_at string, collected_at string")
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        if existing_paths(spark, s["path"]):
+            parts.append(read_feeds(spark, s["path"], s["name"], collected_at))
+        else:
+            print(f"source {s['name']} left out: nothing at {s['path']}")
+    empty = spark.createDataFrame([], "source_name string, source_type string, title string, summary string, body string, url string, published_at string, collected_at string")
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else empty
 
 
 def xml_links(pages: DataFrame, base: str) -> DataFrame:
@@ -132,61 +145,6 @@ def xml_links(pages: DataFrame, base: str) -> DataFrame:
     return pages.select(href).select(full.alias("url")).distinct()
 
 
-def members_from_html(pages: DataFrame, countries: dict[str, str], groups: dict[str, str]) -> DataFrame:
-    """``full_name``, ``country``, ``country_code``, ``group_name``, ``group_short`` of member cards in a column ``html``: the first country and group name contained in a card's text; repeats left out."""
-    card = F.explode(F.regexp_extract_all("html", F.lit(r"(?is)<(?:div|li|article)[^>]*member[^>]*>(.*?)</(?:div|li|article)>"), F.lit(1))).alias("card")
-    text = F.trim(F.regexp_replace(F.regexp_replace("card", "<[^>]+>", "\n"), r"[ \t]*\n\s*", "\n"))
-    rows = pages.select(card).select(text.alias("t"))
-
-    def first(names):
-        found = F.array_compact(F.array(*[F.when(F.contains("t", F.lit(n)), F.struct(F.instr("t", n).alias("at"), F.lit(n).alias("name"))) for n in names]))
-        return F.array_min(found)["name"]
-
-    out = rows.select(F.split("t", "\n")[0].alias("full_name"), first(list(countries)).alias("country"), first(list(groups)).alias("group_name")).where("full_name <> '' AND country IS NOT NULL")
-    code = lambda m, c: F.try_element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col(c))
-    return out.select("full_name", "country", F.coalesce(code(countries, "country"), F.lit("")).alias("country_code"), "group_name", F.coalesce(code(groups, "group_name"), F.col("group_name")).alias("group_short")).dropDuplicates(["full_name", "country", "group_name"])
-
-
-def name_candidates(documents: DataFrame) -> DataFrame:
-    """``name``, ``vote`` from roll-call XML in a column ``xml``, in document order: names have two words and five characters at least; the section they stand in gives the vote. Distinct by match key and vote."""
-    import xml.etree.ElementTree as ET
-
-    from concordia.functions.text import VOTE_WORDS, person_name
-
-    def label(text: str) -> str | None:
-        low = text.lower()
-        return next((k for k, words in VOTE_WORDS if any(w in low for w in words)), None)
-
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out: list[tuple[str, str]] = []
-            for (text,) in frame.itertuples(index=False):
-                try:
-                    root = ET.fromstring(text)
-                except (ET.ParseError, TypeError):
-                    continue
-                stack = [(root, None)]
-                while stack:
-                    node, vote = stack.pop()
-                    vote = label(f"{node.tag.split('}')[-1]} {' '.join(node.attrib.values())}") or vote
-                    names = [*node.attrib.values(), node.text or ""]
-                    name = next((" ".join(n.split()) for n in names if len(n.split()) >= 2 and len(n.strip()) >= 5), None)
-                    if name and vote and not len(node):
-                        out.append((name, vote))
-                    stack += [(c, vote) for c in reversed(list(node))]
-            yield pd.DataFrame(out, columns=["name", "vote"])
-
-    return documents.select("xml").mapInPandas(walk, "name string, vote string").withColumn("key", person_name(F.col("name"))).dropDuplicates(["key", "vote"])
-
-
-def match_members(names: DataFrame, members: DataFrame) -> DataFrame:
-    """Names left-joined to members by match key; of members with the same key the first by full name counts."""
-    from concordia.functions.text import person_name
-
-    keyed = members.withColumn("key", person_name(F.col("full_name"))).groupBy("key").agg(F.min_by(F.struct("full_name", "country_code", "group_short"), "full_name").alias("m"))
-    return names.join(keyed, "key", "left").select(*names.columns, "m.full_name", "m.country_code", "m.group_short")
-
-
 def inspect(table: DataFrame, sample: int = 5) -> dict:
     """Number of rows, column names and a few rows, for a look at an unknown file."""
     return {"rows": table.count(), "columns": table.columns, "sample": [r.asDict(recursive=True) for r in table.limit(sample).collect()]}

@@ -18,9 +18,10 @@ def stream_events(spark, path: str, schema: str, files_per_trigger: int = 100) -
 
 
 def once_per_id(messages: DataFrame, ts: str, event_id: str, lateness: str = "7 days") -> DataFrame:
-    """The first copy to arrive of each identifier within the lateness; messages without one pass unchanged."""
-    keyed = messages.withWatermark(ts, lateness).withColumn("_key", F.coalesce(numeric_identity(F.col(event_id)), F.concat(F.lit("row:"), F.uuid())))
-    return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+    """The first copy to arrive of each identifier within the lateness; messages without one pass unchanged and take up no state."""
+    keyed = messages.withWatermark(ts, lateness).withColumn("_key", numeric_identity(F.col(event_id)))
+    once = keyed.where("_key IS NOT NULL").dropDuplicatesWithinWatermark(["_key"])
+    return once.unionByName(keyed.where("_key IS NULL")).drop("_key")
 
 
 def pair_totals(events: DataFrame, ts: str, days: int = 7, lateness: str = "2 days") -> DataFrame:
