@@ -7,7 +7,8 @@ languages and a batch is scored with array operations. The language with the
 least length-normalised cross-entropy wins; if even that is further above the
 language's usual value than ``reject`` standard deviations the segment has no
 language (``und``). Confidence is the softmax of the total log-likelihoods at a
-temperature fitted on held-out segments.
+temperature fitted on held-out segments; that of ``und`` grows with the distance
+beyond the limit, from 0 at it towards 1.
 
 Fitting uses a bounded sample of labelled rows (``rows_per_label`` each). Labels
 may be wrong or texts mixed: segments in another script than most of their label
@@ -189,9 +190,12 @@ class Models:
         scaled = totals / (self.temperature + short * (self.short_temperature - self.temperature))[:, None]
         confidence = 1 / np.exp(scaled - scaled[rows, best][:, None]).sum(axis=1)
         entropy = -totals[rows, best] / sizes
-        limit = (1 - short) * (self.usual[best] + reject * self.spread[best]) + short * (self.short_usual[best] + reject * self.short_spread[best] * np.sqrt(np.maximum(1, SHORT / sizes)))
-        lost = (entropy > limit) | np.array([not s for s in seen])
-        return ["und" if x else self.languages[b] for b, x in zip(best, lost)], np.where([not s for s in seen], 0.0, confidence)
+        spread = (1 - short) * self.spread[best] + short * self.short_spread[best] * np.sqrt(np.maximum(1, SHORT / sizes))
+        limit = (1 - short) * self.usual[best] + short * self.short_usual[best] + reject * spread
+        blank = np.array([not s for s in seen])
+        lost = (entropy > limit) | blank
+        confidence = np.where(lost, 1 - np.exp(-np.maximum(entropy - limit, 0) / spread), confidence)
+        return ["und" if x else self.languages[b] for b, x in zip(best, lost)], np.where(blank, 0.0, confidence)
 
 
 def _fit_one(texts: list[str]) -> tuple[list, list]:
@@ -306,18 +310,18 @@ def _relabel(pool: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return new
 
 
-def train(rows: DataFrame, row_id: str, label: Column, parts: list[Column], rows_per_label: int = 300, relabelled: int = 2) -> Models | None:
-    """Models fitted on at most about ``rows_per_label`` rows of each named language (twice that at the very most over all); None where no row has a label.
+def sample(rows: DataFrame, row_id: str, label: Column, parts: list[Column], rows_per_label: int = 300, relabelled: int = 2) -> list[tuple[str, str]]:
+    """(text, language) of the sentences of at most about ``rows_per_label`` rows of each named language (twice that at the very most over all), relabelled by cross-fitting.
 
-    Which rows are taken follows a hash of the id, so a run can be repeated. One in five sample segments is held out for calibration.
+    Which rows are taken follows a hash of the id, so a run can be repeated.
     """
     text = F.concat_ws("\n", *parts)
     named = rows.select(F.xxhash64(F.lit("sample"), row_id).alias("h"), label_language(label).alias("lang"), *[p.alias(f"part{i}") for i, p in enumerate(parts)]).where(F.col("lang").isNotNull() & (F.length(F.trim(text)) > 0))
     counts = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}
     if not counts:
-        return None
+        return []
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, rows_per_label / n)))])
-    picked = named.where(F.pmod("h", F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000).limit(2 * rows_per_label * len(LANGUAGES)).collect()
+    picked = named.where(F.pmod("h", F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000).orderBy("h").limit(2 * rows_per_label * len(LANGUAGES)).collect()
     labelled: dict[str, list[str]] = {}
     for r in picked:
         for i in range(len(parts)):
@@ -330,6 +334,16 @@ def train(rows: DataFrame, row_id: str, label: Column, parts: list[Column], rows
         pool += [(x, lang) for x in texts if script(x) == usual]
     for _ in range(relabelled):
         pool = _relabel(pool)
+    return pool
+
+
+def train(rows: DataFrame, row_id: str, label: Column, parts: list[Column], **options) -> Models | None:
+    """Models fitted on a :func:`sample`; None where no row has a label. One in five of its segments is held out for calibration."""
+    pool = sample(rows, row_id, label, parts, **options)
+    return fitted(pool) if pool else None
+
+
+def fitted(pool: list[tuple[str, str]]) -> Models:
     again: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
     for k, (x, lang) in enumerate(pool):

@@ -164,6 +164,29 @@ def test_held_out_accuracy(spark):
     assert models.decide(["zxq qqxz wvvk jjkq zzxw qkkj xxqz wwvq kkjz qqwx " * 3])[0] == ["und"]
 
 
+def test_confidence_is_calibrated(spark):
+    """Of held-out sentences, as many are right as their confidence says; and what is sure is right more often than what is not."""
+    news = table(spark, "/root/testdata/sf0.1", "news_items")
+    pool = langid.sample(news, "news_id", F.try_element_at("metadata", F.lit("lang")), [F.col("title"), F.col("summary")], rows_per_label=120)
+    asked = pool[::6]
+    models = langid.fitted([x for k, x in enumerate(pool) if k % 6])
+    pieces = [(" ".join(p), lang) for x, lang in asked for p in langid._short_pieces(x)]
+    for texts in (asked, pieces):
+        langs, confidence = models.decide([x for x, _ in texts])
+        right = [(a == b, c) for a, (_, b), c in zip(langs, texts, confidence) if a != "und"]
+        assert len(right) > 0.9 * len(texts) and abs(sum(r for r, _ in right) / len(right) - sum(c for _, c in right) / len(right)) < 0.05
+        sure, unsure = [r for r, c in right if c >= 0.9], [r for r, c in right if c < 0.9]
+        assert not unsure or sum(sure) / len(sure) > sum(unsure) / len(unsure)
+
+
+def test_no_language_has_a_confidence_of_its_own():
+    """A rejected text is not as sure as the language that it resembles most; the further beyond the limit, the surer it is none."""
+    models = langid.fit({"en": ["the council of the city approved the budget after a long debate on the plan"] * 3, "de": ["der rat der stadt genehmigte den haushalt nach langer debatte"] * 3})
+    langid._calibrate(models, {"en": ["the council approved the plan", "a debate on the budget of the city"], "de": ["der rat genehmigte den haushalt", "nach langer debatte der stadt"]})
+    langs, confidence = models.decide(["the city approved the debate", "zxqj wvkq xxzz qqjw zzkx vwqj", "zxqj wvkq xxzz qqjw zzkx vwqj" * 4, ""])
+    assert langs[0] == "en" and confidence[0] > 0.5 and set(langs[1:]) == {"und"} and all(0 <= c < 1.0001 for c in confidence) and confidence[3] == 0
+
+
 def test_probabilities_add_up():
     """After any context the probabilities of all characters of a fitted model and the share kept for unseen ones (the product of the lower-order weights) sum to one."""
     texts = ["the cat sat on the mat and the dog sat on the log", "a cat and a dog and a log"]
