@@ -425,7 +425,7 @@ def sentence_spans(text: str | None, lang: str, model: Model) -> list[tuple[int,
     spans: list[tuple[int, int]] = []
     if not text:
         return spans
-    lower = is_lower(text.split())
+    lower = _Lower(text)
     for a, b in blocks(text) if _BREAK.search(text) else _whole(text):
         cuts = sorted(set(_mark_cuts(text, a, b, lang, lower, model)) | set(_thai_cuts(text, a, b)))
         at = a
@@ -441,6 +441,18 @@ def sentence_spans(text: str | None, lang: str, model: Model) -> list[tuple[int,
     return spans
 
 
+class _Lower:
+    """:func:`is_lower` of a text, worked out when first asked for."""
+
+    def __init__(self, text: str):
+        self.text, self.found = text, None
+
+    def __call__(self) -> bool:
+        if self.found is None:
+            self.found = is_lower(self.text.split())
+        return self.found
+
+
 def _thai_cuts(text: str, a: int, b: int) -> Iterator[int]:
     """In Thai a blank ends a sentence, unless it is next to a figure or a Latin-script name. Two Latin words in a row are no name but another language."""
     if _THAI.search(text, a, b) is None:
@@ -458,7 +470,7 @@ def _thai_cuts(text: str, a: int, b: int) -> Iterator[int]:
             yield s
 
 
-def _mark_cuts(text: str, a: int, b: int, lang: str, lower: bool, model: Model) -> Iterator[int]:
+def _mark_cuts(text: str, a: int, b: int, lang: str, lower: _Lower, model: Model) -> Iterator[int]:
     for m in _MARK.finditer(text, a, b):
         end = m.end()
         if end >= b:
@@ -473,7 +485,7 @@ def _mark_cuts(text: str, a: int, b: int, lang: str, lower: bool, model: Model)
             yield end
 
 
-def _ends(text: str, a: int, b: int, start: int, mark: str, close: str, end: int, n: int, lang: str, lower: bool, model: Model) -> bool:
+def _ends(text: str, a: int, b: int, start: int, mark: str, close: str, end: int, n: int, lang: str, lower: _Lower, model: Model) -> bool:
     """Whether the mark at ``start`` (its closing quotes end at ``end``, the next visible character is at ``n``) ends a sentence."""
     nxt, spaced = text[n], n > end
     follows = _NEXT.match(text, n, b)
@@ -495,7 +507,7 @@ def _ends(text: str, a: int, b: int, start: int, mark: str, close: str, end: int
             if nxt.isdigit() or not nxt.isalpha() or mark == ";":
                 return False
         if small:
-            if not lower:
+            if not lower():
                 return False
             if quoted:
                 return starter and not model.continues(word, lang)
@@ -505,7 +517,7 @@ def _ends(text: str, a: int, b: int, start: int, mark: str, close: str, end: int
     # a single period
     if close:
         if small:
-            return lower and starter
+            return lower() and starter
         return nxt.isalpha() or nxt in _OPENING or (spaced and not nxt.isdigit())
     body = _nfc(_word_before(text, a, start))
     if not spaced:
@@ -520,20 +532,20 @@ def _ends(text: str, a: int, b: int, start: int, mark: str, close: str, end: int
             return False
         after = text[follows.end() : follows.end() + 1]
         if small or not _CASED.match(nxt):
-            return (not small or lower and starter) and (after.isspace() or after == "" or after in ",")
+            return (not small or lower() and starter) and (after.isspace() or after == "" or after in ",")
         return after != "." and (len(follows.group()) > 1 or after.isspace())
     if not body:
         return not small and not nxt.isdigit()
     if body.isdigit():
         if nxt.isdigit():
             return False
-        return starter and not (small and not lower) if nxt.isalpha() else nxt in _OPENING
+        return starter and not (small and not lower()) if nxt.isalpha() else nxt in _OPENING
     if nxt.isdigit():
         return _abbreviation(body, lang, model) is None and len(body) > 3
     initial = len(body) == 1 and body.isupper()
     closes = _abbreviation(body, lang, model)
     if small:
-        if not lower:
+        if not lower():
             return False
         if closes is not None:
             return closes and starter
