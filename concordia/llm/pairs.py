@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concordia.runtime import cut
+
 #: Products expanded at once by a task.
 CHUNK = 2_000_000
 
@@ -99,8 +101,11 @@ def co_occurrence(records: DataFrame, items: Column, min_count: int = 1, min_sha
     """
     clean = F.array_distinct(F.array_compact(F.coalesce(items, F.array().cast("array<string>"))))
     sets = records.select(clean.alias("items"))
-    counts = sets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    n_rows = records.count()
+    # one entry without an item for each record counts the records in the same pass; the table, a row per item, is read several times
+    every = sets.select(F.explode(F.concat("items", F.array(F.lit(None).cast("string")))).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    every = cut(every)
+    counts, total = every.where("item IS NOT NULL"), every.where("item IS NULL").first()
+    n_rows = total["n"] if total else 0
     frequent = counts.where(F.col("n") >= max(1, heavy_share * n_rows)).orderBy(F.desc("n"), "item").limit(most_heavy)
     heavy = [r["item"] for r in frequent.collect()]
     least = max(min_count, min_share * n_rows)
