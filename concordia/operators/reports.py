@@ -82,6 +82,7 @@ def coded_counters(rows: DataFrame) -> DataFrame:
     return rows.agg(
         F.count(F.lit(1)).alias("rows_total"), F.count_if(a.isNotNull()).alias("actor1_mapped"), F.count_if(b.isNotNull()).alias("actor2_mapped"), F.count_if(c.isNotNull()).alias("place_mapped"),
         F.count_if(F.size(found) > 0).alias("with_country"), F.count_if(F.size(found) >= 2).alias("with_pair"), F.count_if((F.size(found) >= 2) & eu).alias("relevant"),
+        F.count_if((F.size(found) >= 2) & eu).alias("events_built"),
     )
 
 

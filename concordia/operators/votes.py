@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from concordia.config import TOPICS, VOTE_SCORE, Thresholds
 from concordia.functions import scalars as S
@@ -45,6 +46,14 @@ def country_positions(folded: DataFrame) -> DataFrame:
     return by.select("vote_id", F.col("key").alias("country"), majority(n_for=F.col("n_for"), n_against=F.col("n_against"), n_abstain=F.col("n_abstain")).alias("position")).where("position IS NOT NULL")
 
 
+def _spread(rows: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """A row for each entry of the scope's columns that are lists."""
+    for c in scope:
+        if isinstance(rows.schema[c].dataType, ArrayType):
+            rows = rows.withColumn(c, F.explode(c))
+    return rows
+
+
 def gathered(votes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """One row per vote: ``v`` (its countries with a valid position, sorted), ``n_valid``, ``divisive`` (two valid votes and two positions at least) and
     ``conflict`` = 1 - share of the largest position, 6 digits, over all countries. The one exchange by vote that all builders share; a vote has a row per country at most.
@@ -56,7 +65,7 @@ def gathered(votes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     kinds = sum(((F.col(f"n_{p}") > 0).cast("int") for p in POSITIONS), F.lit(0))
     most = F.greatest(*[F.col(f"n_{p}") for p in POSITIONS])
     weight = F.round(1 - most.cast("decimal(18,0)") / n.cast("decimal(18,0)"), 6).cast(_CW)
-    return lists.withColumns({"n_valid": n, "divisive": (n >= Thresholds().divisive_min) & (kinds >= 2), "conflict": weight})
+    return _spread(lists, scope).withColumns({"n_valid": n, "divisive": (n >= Thresholds().divisive_min) & (kinds >= 2), "conflict": weight})
 
 
 def conflicts(votes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -76,9 +85,12 @@ def counted(votes: DataFrame, scope: Sequence[str] = (), limits: Thresholds = Th
 
 
 def windowed(votes: DataFrame, now: str, windows: Sequence[int] = (7, 30, 90), date: str = "date") -> DataFrame:
-    """The votes of each trailing window, with ``window_days``: by their UTC day, later ones included."""
+    """The votes of any trailing window, with the windows they are in as the list ``window_days``: by their UTC day, later ones included.
+
+    As part of a scope the list is spread out over the votes once these are gathered, not over the countries' rows.
+    """
     inside = [F.when(S.iso_or_mail_timestamp(F.col(date)) >= F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {24 * int(d)} HOURS"), F.lit(int(d))) for d in windows]
-    return votes.withColumn("window_days", F.explode(F.array_compact(F.array(*inside))))
+    return votes.withColumn("window_days", F.array_compact(F.array(*inside))).where(F.size("window_days") > 0)
 
 
 def by_mode(rows: DataFrame, modes: Sequence[str] = ("all", "internal", "external")) -> DataFrame:
@@ -88,7 +100,7 @@ def by_mode(rows: DataFrame, modes: Sequence[str] = ("all", "internal", "externa
 
 def vote_counts(votes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """scope, ``event_count``: all votes of the scope, also in modes that show none."""
-    return votes.groupBy(*scope).agg(F.count_distinct("vote_id").alias("event_count"))
+    return _spread(votes.select(*scope, "vote_id").distinct(), scope).groupBy(*scope).agg(F.count(F.lit(1)).alias("event_count"))
 
 
 def pair_score(a: Column, b: Column) -> Column:

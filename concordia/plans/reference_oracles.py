@@ -316,7 +316,7 @@ x AS (SELECT country, topic, coalesce(max(v) FILTER (period = 'current'), 0) AS
     "series_forecast": f"{_DAILY} {_FIT} SELECT event_type, strftime(last + CAST(j AS INTEGER), '%Y-%m-%d') AS day, {_R('c + k * (n + j - 1)', 2)} AS forecast FROM f, range(1, 4) r(j)",
     "report_topic_shifts": f"""{_TC} SELECT country, topic, current, previous, delta FROM (SELECT * FROM tc QUALIFY row_number() OVER (PARTITION BY country ORDER BY abs(delta) DESC, topic) = 1) ORDER BY abs(delta) DESC, country LIMIT 12""",
     "coded_counters": f"""{_CODED} SELECT count(*) AS rows_total, count(a) AS actor1_mapped, count(b) AS actor2_mapped, count(c) AS place_mapped, count(*) FILTER (len(cs) > 0) AS with_country,
-count(*) FILTER (len(cs) >= 2) AS with_pair, count(*) FILTER (len(cs) >= 2 AND list_has_any(cs, [{_EU[1:-1]}])) AS relevant FROM x""",
+count(*) FILTER (len(cs) >= 2) AS with_pair, count(*) FILTER (len(cs) >= 2 AND list_has_any(cs, [{_EU[1:-1]}])) AS relevant, count(*) FILTER (len(cs) >= 2 AND list_has_any(cs, [{_EU[1:-1]}])) AS events_built FROM x""",
     "coded_built": f"""{_CODED}, y AS (SELECT *, trim(coalesce(metadata['EventRootCode'], '')) AS root, trim(coalesce(metadata['EventCode'], '')) AS code FROM x WHERE len(cs) >= 2 AND list_has_any(cs, [{_EU[1:-1]}])),
 z AS (SELECT *, list_sort(list_distinct(list_filter([CASE WHEN root IN ('19', '20') THEN 'defence' END, CASE WHEN root IN ('19', '20') THEN 'ukraine_russia' END, CASE WHEN root IN ('13', '14', '17') THEN 'rule_of_law' END,
   CASE WHEN root IN ('05', '06', '07', '08') OR left(code, 3) IN ('112', '113', '120', '121', '122', '123') THEN 'trade' END, CASE WHEN left(code, 3) IN ('112', '113', '120', '121', '122', '123') THEN 'fiscal' END], lambda t: t IS NOT NULL))) AS ts FROM y),
