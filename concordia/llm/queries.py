@@ -120,7 +120,17 @@ c AS (SELECT a.news_id AS a, b.news_id AS b, any_value(a.n) AS na, any_value(b.n
 SELECT a AS news_id_a, b AS news_id_b FROM c WHERE k * 100 >= 80 * (na + nb - k)
 """
 
+_P6_GROUPS = """
+WITH RECURSIVE """ + _P6[_P6.index("t AS"):].rsplit("SELECT a AS news_id_a", 1)[0] + """,
+pair AS (SELECT a, b FROM c WHERE k * 100 >= 80 * (na + nb - k)), ways AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach(node, other) AS (SELECT a, b FROM ways UNION SELECT r.node, e.b FROM reach r JOIN ways e ON e.a = r.other),
+grp AS (SELECT node, least(node, min(other)) AS group_id FROM reach GROUP BY node), deg AS (SELECT a, count(*) AS links FROM ways GROUP BY a),
+cls AS (SELECT news_id, min(news_id) OVER (PARTITION BY list_sort(w)) AS class_id FROM t WHERE len(w) > 0)
+SELECT news_id, class_id, coalesce(group_id, news_id) AS group_id, coalesce(links, 0) AS links FROM cls LEFT JOIN grp ON node = news_id LEFT JOIN deg ON deg.a = news_id
+"""
+
 ORACLE = {
+    "p6_groups": _P6_GROUPS,
     "p1_pairs": _P1 + "SELECT item_a, item_b, n_ab, n_a, n_b, n_rows, round(CAST(n_ab AS DOUBLE) * n_rows / (CAST(n_a AS DOUBLE) * n_b), 6) AS lift FROM q",
     "p1_found": _P1 + "SELECT item_a, item_b FROM q WHERE n_ab >= 3 AND n_ab * 1000 >= 3 * n_rows AND n_ab * n_rows >= 2 * n_a * n_b",
     "p6_found": _P6,
